@@ -13,10 +13,11 @@ from typing import Any
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import MODEL_TYPES, CVConfig, ModelConfig, PreprocessingConfig
+from riskframe.functions.columns import quoted
 from riskframe.operators.metrics import METRICS, classification_metrics
 from riskframe.operators.prep import (
     FEATURES, LINEAR, TREE, FittedPreprocessor, Preprocessor, helper_columns,
@@ -149,8 +150,16 @@ class ModelPlan:
         return replace(self, params={**self.params, **params})
 
     def fit(self, train: DataFrame) -> "FittedModel":
-        prep = self.preprocessor().fit_map(train)
-        return self.fit_classifier(prep, prep.transform(train))
+        """Fits preprocessing and classifier; the columns they need are kept for the passes it takes."""
+        columns = [*self.numerical, *self.categorical, LABEL]
+        kept = train.select(*[F.col(quoted(c)) for c in columns])
+        cached = train.storageLevel.useMemory or train.storageLevel.useDisk
+        kept = kept if cached else kept.persist()
+        prep = self.preprocessor().fit_map(kept)
+        model = self.fit_classifier(prep, prep.transform(kept))
+        if not cached:
+            kept.unpersist()
+        return model
 
     def fit_classifier(self, prep: FittedPreprocessor, transformed: DataFrame) -> "FittedModel":
         """Fits the classifier on rows that ``prep`` has transformed."""
@@ -172,7 +181,7 @@ class FittedModel:
 
     def score(self, df: DataFrame, output: str = SCORE) -> DataFrame:
         """Adds the probability of class 1; a narrow projection."""
-        self.prep.schema.validate(df)
+        self.prep.schema.require(df)
         return add_score(self.pipeline(), df, output)
 
 

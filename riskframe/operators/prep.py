@@ -7,8 +7,9 @@ saves, loads and runs on streams like any other Spark ML model.
 
 from __future__ import annotations
 
-import json
+import itertools
 import logging
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.config import PreprocessingConfig
-from riskframe.functions.columns import is_missing, quoted, to_long
+from riskframe.functions.columns import is_missing, nan_to_null, quoted, to_long
 from riskframe.functions.local import local_table
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.quality import FeatureSchema
@@ -37,11 +38,7 @@ def modes(df: DataFrame, columns: Sequence[str], as_type: str = "string") -> dic
     """Most frequent non-missing value per column, the smallest one on ties."""
     if not columns:
         return {}
-    counts = (
-        to_long(df, columns, as_type=as_type).where("value is not null")
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    rows = counts.groupBy("column").agg(
+    rows = category_counts(df, columns, as_type).groupBy("column").agg(
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect()
     found = {r["column"]: r["mode"] for r in rows}
     return {c: found.get(c) for c in columns}
@@ -54,6 +51,7 @@ def numeric_fill(df: DataFrame, columns: Sequence[str], strategy: str,
         return {}
     if strategy == "constant":
         return {c: float(constant) for c in columns}
+    df = nan_to_null(df)
     if strategy == "median":
         return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5]).items()}
     if strategy == "most_frequent":
@@ -71,15 +69,56 @@ def filled(df: DataFrame, column: str, value: Any, dtype: str):
 
 def scale_statistics(df: DataFrame, columns: Sequence[str],
                      fill: dict[str, float | None]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation after imputation; a zero deviation counts as 1."""
+    """Mean and population standard deviation after imputation; a zero deviation counts as 1.
+
+    The imputed moments follow from those of the present values and the number of
+    missing ones, so one aggregation does.
+    """
     if not columns:
         return {}
-    terms = []
+    terms = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
-        value = filled(df, c, fill[c], "double")
-        terms += [F.avg(value).alias(f"m{i}"), F.stddev_pop(value).alias(f"s{i}")]
+        value = filled(df, c, None, "double")
+        terms += [F.count(value).alias(f"n{i}"), F.avg(value).alias(f"m{i}"), F.var_pop(value).alias(f"v{i}")]
     row = df.agg(*terms).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
+    found = {}
+    for i, c in enumerate(columns):
+        n, mean, var = row[f"n{i}"], row[f"m{i}"] or 0.0, row[f"v{i}"] or 0.0
+        gaps, value = row["rows"] - n, fill[c] or 0.0
+        both = (n * mean + gaps * value) / row["rows"]
+        spread = (n * (var + (mean - both) ** 2) + gaps * (value - both) ** 2) / row["rows"]
+        found[c] = (both, math.sqrt(spread) or 1.0)
+    return found
+
+
+def category_counts(df: DataFrame, columns: Sequence[str], as_type: str = "string") -> DataFrame:
+    """(column, value, n) of the non-missing values of all columns, from one shuffle."""
+    return (
+        to_long(df, columns, as_type=as_type).where("value is not null")
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int) -> dict[str, tuple[str | None, list[str]]]:
+    """Mode and categories per column.
+
+    The model holds the category lists, so their size is checked before they are read.
+    """
+    if not columns:
+        return {}
+    counts = category_counts(df, columns).persist()
+    stats = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("d"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect()
+    for r in stats:
+        if r["d"] > max_categories:
+            counts.unpersist()
+            raise ValueError(f"column {r['column']!r} has {r['d']} categories, more than max_categories={max_categories}")
+    found: dict[str, tuple[str | None, list[str]]] = {c: (None, []) for c in columns}
+    found.update({r["column"]: (r["mode"], []) for r in stats})
+    for r in counts.select("column", "value").collect():
+        found[r["column"]][1].append(r["value"])
+    counts.unpersist()
+    return found
 
 
 @dataclass
@@ -91,7 +130,7 @@ class FittedPreprocessor:
     slots: list[tuple[str, str]] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        self.schema.validate(df)
+        self.schema.require(df)
         return self.model.transform(df)
 
     @property
@@ -151,14 +190,13 @@ class Preprocessor(Estimator):
         return self.fitted.model
 
     def fit_map(self, train: DataFrame) -> FittedPreprocessor:
-        self.schema.validate(train)
+        self.schema.require(train)
         config = self.config
         numeric = numeric_fill(train, self.schema.numerical, config.numerical_impute_strategy,
                                config.numerical_fill_value)
-        if config.categorical_impute_strategy == "constant":
-            category = {c: config.categorical_fill_value for c in self.schema.categorical}
-        else:
-            category = modes(train, self.schema.categorical)
+        lists = category_lists(train, self.schema.categorical, config.max_categories)
+        constant = config.categorical_impute_strategy == "constant"
+        category = {c: config.categorical_fill_value if constant else lists[c][0] for c in self.schema.categorical}
         dropped = [c for c, v in {**numeric, **category}.items() if v is None]
         if dropped:
             logger.warning("columns without any training value are dropped: %s", dropped)
@@ -174,15 +212,22 @@ class Preprocessor(Estimator):
         inputs = [_number_column(i) for i in range(len(numerical))]
 
         if categorical:
-            imputed = projection.transform(train)
-            self._check_cardinality(imputed, categorical)
+            labels = [lists[c][1] for c in categorical]
+            if constant:
+                # The fill is a category if a training row needs it.
+                gaps = train.agg(*[F.count_if(is_missing(train, c)).alias(f"g{i}")
+                                   for i, c in enumerate(categorical)]).first()
+                labels = [list({*values, category[c]}) if gaps[f"g{i}"] else values
+                          for i, (c, values) in enumerate(zip(categorical, labels))]
             raw = [_text_column(i) for i in range(len(categorical))]
             indexed = [_index_column(i) for i in range(len(categorical))]
             # Sorted categories; an unseen one gets the index after the last.
-            indexer = StringIndexer(inputCols=raw, outputCols=indexed, handleInvalid="keep",
-                                    stringOrderType="alphabetAsc").fit(imputed)
-            stages.append(indexer)
+            indexer = StringIndexer(
+                inputCols=raw, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc",
+            ).fit(local_table(train.sparkSession, list(itertools.zip_longest(*labels)),
+                              ", ".join(f"{c} string" for c in raw)))
             labels = indexer.labelsArray
+            stages.append(indexer)
             if config.encode_categorical == "ordinal":
                 inputs += indexed
                 slots += [(f"categorical__{c}", c) for c in categorical]
@@ -191,7 +236,7 @@ class Preprocessor(Estimator):
                 # The index of unseen categories is the last one and is dropped:
                 # they become all zeros.
                 stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True,
-                                            handleInvalid="error").fit(indexer.transform(imputed)))
+                                            handleInvalid="error").fit(indexer.transform(projection.transform(train))))
                 for i, c in enumerate(categorical):
                     values = list(labels[i])
                     first = config.onehot_drop == "first" or (
@@ -210,16 +255,6 @@ class Preprocessor(Estimator):
         stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
         return FittedPreprocessor(PipelineModel(stages), self.schema, slots)
 
-    def _check_cardinality(self, imputed: DataFrame, categorical: Sequence[str]) -> None:
-        """The category lists are held by the driver and by the model: check their size first."""
-        row = imputed.agg(*[F.approx_count_distinct(_text_column(i)).alias(f"d{i}")
-                            for i in range(len(categorical))]).first()
-        for i, c in enumerate(categorical):
-            if row[f"d{i}"] > self.config.max_categories:
-                raise ValueError(
-                    f"column {c!r} has about {row[f'd{i}']} categories, more than "
-                    f"max_categories={self.config.max_categories}")
-
 
 def _number_column(i: int) -> str:
     return f"__num{i}"

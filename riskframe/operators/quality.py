@@ -250,12 +250,16 @@ class FeatureSchema:
     def names(self) -> tuple[str, ...]:
         return self.numerical + self.categorical
 
-    def validate(self, df: DataFrame) -> None:
-        """Missing columns raise, extra ones are ignored. Reads the schema only."""
+    def require(self, df: DataFrame) -> None:
+        """Raises if a feature column is missing. Reads the schema only."""
         missing = sorted(set(self.names) - set(df.columns))
         if missing:
             raise SchemaValidationError(f"The input lacks the columns {missing}.")
-        extra = sorted(set(df.columns) - set(self.names))
+
+    def validate(self, df: DataFrame, known: Sequence[str] = ()) -> None:
+        """The check at inference: missing columns raise, extra ones are reported and ignored."""
+        self.require(df)
+        extra = sorted(set(df.columns) - set(self.names) - set(known))
         if extra:
             logger.warning("columns not seen in training are ignored: %s", extra)
 

@@ -37,9 +37,13 @@ def feature_projection(df: DataFrame, target: str, excluded: Sequence[str] = ())
     return df.drop(*gone).withColumnRenamed(target, "label")
 
 
-def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
-    """Rows per class in class order; a missing label is a class of its own."""
-    rows = df.groupBy(F.col(quoted(label)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()
+def class_counts(df: DataFrame, label: str, limit: int | None = None) -> dict[Any, int]:
+    """Rows per class in class order; a missing label is a class of its own.
+
+    With ``limit`` at most so many classes are counted.
+    """
+    groups = df.groupBy(F.col(quoted(label)).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    rows = (groups if limit is None else groups.limit(limit)).collect()
     return {r["c"]: r["n"] for r in sorted(rows, key=lambda r: (r["c"] is not None, r["c"]))}
 
 
@@ -173,14 +177,14 @@ def assign_parts(
     strata: str | None = None
     counts: dict[Any, int] = {}
     if stratify:
-        distinct = df.agg(F.approx_count_distinct(quoted(label), 0.01).alias("d")).first()["d"]
-        if distinct <= 2 * MAX_STRATA:
-            counts = class_counts(df, label)
-            distinct = len([c for c in counts if c is not None])
+        # A few more classes than allowed are enough to see that there are too many.
+        counts = class_counts(df, label, limit=MAX_STRATA + 2)
+        distinct = len([c for c in counts if c is not None])
         if 1 < distinct <= MAX_STRATA:
             strata = label
         else:
-            logger.warning("the target has %s unique values; the split is not stratified", distinct)
+            logger.warning("the target has %s unique values; the split is not stratified",
+                           distinct if distinct <= MAX_STRATA else f"more than {MAX_STRATA}")
     if strata is None:
         counts = {0: df.count()}
 
