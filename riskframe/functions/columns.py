@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,3 +64,19 @@ def to_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), as_
     )
     return wide.unpivot([F.col(quoted(k)) for k in keep], [F.col(quoted(c)) for c in columns],
                         name, value)
+
+
+@contextmanager
+def kept(df: DataFrame, columns: Sequence[str] | None = None) -> Iterator[DataFrame]:
+    """The columns of ``df`` held in executor memory and disk while several passes read them.
+
+    A frame that is held already is used as it is.
+    """
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
+    held = (df if columns is None else df.select(*[F.col(quoted(c)) for c in columns])).persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import MODEL_TYPES, CVConfig, ModelConfig, PreprocessingConfig
-from riskframe.functions.columns import quoted
+from riskframe.functions.columns import kept
 from riskframe.operators.metrics import METRICS, classification_metrics
 from riskframe.operators.prep import (
     FEATURES, LINEAR, TREE, FittedPreprocessor, Preprocessor, helper_columns,
@@ -151,15 +151,9 @@ class ModelPlan:
 
     def fit(self, train: DataFrame) -> "FittedModel":
         """Fits preprocessing and classifier; the columns they need are kept for the passes it takes."""
-        columns = [*self.numerical, *self.categorical, LABEL]
-        kept = train.select(*[F.col(quoted(c)) for c in columns])
-        cached = train.storageLevel.useMemory or train.storageLevel.useDisk
-        kept = kept if cached else kept.persist()
-        prep = self.preprocessor().fit_map(kept)
-        model = self.fit_classifier(prep, prep.transform(kept))
-        if not cached:
-            kept.unpersist()
-        return model
+        with kept(train, [*self.numerical, *self.categorical, LABEL]) as rows:
+            prep = self.preprocessor().fit_map(rows)
+            return self.fit_classifier(prep, prep.transform(rows))
 
     def fit_classifier(self, prep: FittedPreprocessor, transformed: DataFrame) -> "FittedModel":
         """Fits the classifier on rows that ``prep`` has transformed."""

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.config import PreprocessingConfig
-from riskframe.functions.columns import is_missing, nan_to_null, quoted, to_long
+from riskframe.functions.columns import is_missing, kept, nan_to_null, quoted, to_long
 from riskframe.functions.local import local_table
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.quality import FeatureSchema
@@ -191,6 +191,10 @@ class Preprocessor(Estimator):
 
     def fit_map(self, train: DataFrame) -> FittedPreprocessor:
         self.schema.require(train)
+        with kept(train, self.schema.names) as rows:
+            return self._fit_rows(rows)
+
+    def _fit_rows(self, train: DataFrame) -> FittedPreprocessor:
         config = self.config
         numeric = numeric_fill(train, self.schema.numerical, config.numerical_impute_strategy,
                                config.numerical_fill_value)

@@ -132,8 +132,10 @@ def histogram(
         guess = F.floor((value - edges[0]) / (edges[-1] - edges[0]) * bins).cast("int")
         guess = F.least(F.greatest(guess, F.lit(0)), F.lit(bins - 1))
         lookup = F.array(*[F.lit(e) for e in edges])
+        # least and greatest skip NULL, so a missing value has to be kept apart.
         exact = (
-            F.when(value < F.element_at(lookup, guess + 1), guess - 1)
+            F.when(value.isNull(), F.lit(None).cast("int"))
+            .when(value < F.element_at(lookup, guess + 1), guess - 1)
             .when((guess < bins - 1) & (value >= F.element_at(lookup, guess + 2)), guess + 1)
             .otherwise(guess)
         )

@@ -32,8 +32,17 @@ def write_table(df: DataFrame, uri: str, fmt: str = "csv") -> str:
     return uri
 
 
+def _hadoop(spark: SparkSession, uri: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def path_exists(spark: SparkSession, uri: str) -> bool:
     """Existence through the Hadoop file system, so object stores work too."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(uri)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    system, path = _hadoop(spark, uri)
+    return system.exists(path)
+
+
+def is_file(spark: SparkSession, uri: str) -> bool:
+    system, path = _hadoop(spark, uri)
+    return system.exists(path) and system.getFileStatus(path).isFile()

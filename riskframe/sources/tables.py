@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException, SparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +50,7 @@ def load_table(
         if "PATH_NOT_FOUND" in (error.getCondition() or ""):
             raise DataLoadError(f"No table at {path}.") from error
         raise DataLoadError(f"Cannot read {path}: {error}") from error
-    except SparkException as error:
+    except PySparkException as error:
         raise DataLoadError(f"Cannot parse {path}: {error}") from error
     return df
 

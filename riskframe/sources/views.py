@@ -17,7 +17,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .select((F.col("l_returnflag") == "R").cast("int").alias("label"), p0.alias("p0"))
-        .withColumn("p1", F.round(0.2 + 0.25 * F.col("p0"), 4))
+        .withColumn("p1", F.round(0.2 + 0.25 * F.col("p0"), 6))
     )
 
 

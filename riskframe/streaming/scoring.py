@@ -15,11 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 from riskframe.operators.attribution import Attributor
 from riskframe.operators.bundle import Bundle
 from riskframe.operators.scoring import RISK_LABELS, explain, score
+from riskframe.sources.sinks import is_file
 
 
 def feature_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                    **options: str) -> DataFrame:
-    """A stream over the files of a folder. The schema is pinned, as streams do not infer it."""
+    """A stream over a folder of files, or over one file. The schema is pinned, as streams do not infer it."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    if is_file(spark, path):
+        # A file source watches folders, so a single file is a filtered folder.
+        path, options = folder, {"pathGlobFilter": name, **options}
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
