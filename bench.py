@@ -27,7 +27,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus,
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -8,16 +8,16 @@ bracket are ranked, so what reaches a task stays small however large the table.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import quoted
+from riskframe.functions.columns import quoted, to_long
 
 # Brackets that hold no more rows than this are ranked.
-RANKED_ROWS = 1_000_000
+RANKED_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -39,18 +39,32 @@ def _inside(b: _Bracket):
     return value.isNotNull() & (value >= F.lit(b.start)) & (value <= F.lit(b.end))
 
 
+def _by_span(brackets: Iterable[_Bracket]) -> dict[tuple[str, float, float], list[_Bracket]]:
+    spans: dict[tuple[str, float, float], list[_Bracket]] = {}
+    for b in brackets:
+        spans.setdefault((b.column, b.start, b.end), []).append(b)
+    return spans
+
+
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> bool:
     """One narrowing round over ``brackets``; False when none of them shrank."""
+    # Brackets with the same bounds share one sketch.
+    slack = 2.0 / SKETCH_ACCURACY
+    spans = _by_span(brackets)
     sketches = []
-    for i, b in enumerate(brackets):
-        slack = 2.0 / SKETCH_ACCURACY
-        first = max(0.0, (b.low - b.below) / b.inside - slack)
-        last = min(1.0, (b.high + 1 - b.below) / b.inside + slack)
-        value = F.when(_inside(b), F.col(quoted(b.column)).cast("double"))
-        sketches.append(F.percentile_approx(value, [first, last], SKETCH_ACCURACY).alias(f"s{i}"))
+    for i, members in enumerate(spans.values()):
+        points = []
+        for b in members:
+            points.append(max(0.0, (b.low - b.below) / b.inside - slack))
+            points.append(min(1.0, (b.high + 1 - b.below) / b.inside + slack))
+        value = F.when(_inside(members[0]), F.col(quoted(members[0].column)).cast("double"))
+        sketches.append(F.percentile_approx(value, points, SKETCH_ACCURACY).alias(f"s{i}"))
     row = df.agg(*sketches).first()
-    tries = [_Bracket(b.column, b.low, b.high, *map(float, row[f"s{i}"]))
-             for i, b in enumerate(brackets)]
+    brackets, tries = [], []
+    for i, members in enumerate(spans.values()):
+        for j, b in enumerate(members):
+            brackets.append(b)
+            tries.append(_Bracket(b.column, b.low, b.high, *map(float, row[f"s{i}"][2 * j:2 * j + 2])))
     counts = []
     for i, t in enumerate(tries):
         value = F.col(quoted(t.column)).cast("double")
@@ -100,23 +114,25 @@ def exact_quantiles(
     while large and _narrow(df, large):
         large = [b for b in large if is_large(b)]
 
-    # Brackets with the same bounds share their ranked rows.
-    spans: dict[tuple[str, float, float], list[_Bracket]] = {}
-    for b in brackets.values():
-        spans.setdefault((b.column, b.start, b.end), []).append(b)
+    # A bracket of one value is settled; the others are ranked, once per span.
     found: dict[tuple[str, int], float] = {}
+    for b in brackets.values():
+        if b.start == b.end:
+            found[b.column, b.low] = found[b.column, b.high] = b.start
+    spans = _by_span(b for b in brackets.values() if b.start < b.end)
     ids = list(spans)
     if ids:
-        hits = F.array(*[
-            F.when(_inside(spans[k][0]),
-                   F.struct(F.lit(i).alias("span"), F.col(quoted(k[0])).cast("double").alias("value")))
+        # One column per span, then one row per value, all inside generated code.
+        wide = df.select(*[
+            F.when(_inside(spans[k][0]), F.col(quoted(k[0])).cast("double")).alias(str(i))
             for i, k in enumerate(ids)
         ])
         counted = (
-            df.select(F.inline(F.filter(hits, lambda h: h.isNotNull())))
-            .groupBy("span", "value").agg(F.count(F.lit(1)).alias("n"))
+            to_long(wide, [str(i) for i in range(len(ids))], as_type="double", name="span")
+            .where("value is not null").groupBy("span", "value").agg(F.count(F.lit(1)).alias("n"))
         )
-        window = Window.partitionBy("span").orderBy("value")
+        # Values are distinct here, and a frame of rows is cheaper than one of values.
+        window = Window.partitionBy("span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
         ranked = counted.withColumn("upto", F.sum("n").over(window))
         wanted = F.lit(False)
         targets: list[tuple[int, int, str, int]] = []
@@ -126,11 +142,11 @@ def exact_quantiles(
                     local = rank - b.below
                     targets.append((i, local, b.column, rank))
                     wanted = wanted | (
-                        (F.col("span") == i) & (F.col("upto") > local)
+                        (F.col("span") == str(i)) & (F.col("upto") > local)
                         & (F.col("upto") - F.col("n") <= local))
         for r in ranked.where(wanted).collect():
             for i, local, column, rank in targets:
-                if r["span"] == i and r["upto"] - r["n"] <= local < r["upto"]:
+                if r["span"] == str(i) and r["upto"] - r["n"] <= local < r["upto"]:
                     found[column, rank] = r["value"]
 
     result: dict[str, list[float | None]] = {}

@@ -162,7 +162,7 @@ def fit_calibrated(plan: ModelPlan, train: DataFrame, keys: Sequence[str],
                              seed=config.random_state).persist()
         fit_rows = parts.where("part = 'train'").drop("part")
         calib_rows = parts.where("part = 'test'").drop("part")
-        raw = plan.fit(fit_rows)
+        raw = plan.fit_kept(fit_rows)
         members = [_calibrated_pipeline(raw, calib_rows, config.method)]
         sizes = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
         split = {"n_fit": sizes.get("train", 0), "n_calib": sizes.get("test", 0),
@@ -175,7 +175,7 @@ def fit_calibrated(plan: ModelPlan, train: DataFrame, keys: Sequence[str],
     members = in_threads(
         [lambda f=f, m=m: _calibrated_pipeline(m, folded.where(F.col("fold") == f), config.method)
          for f, m in enumerate(models)], parallelism)
-    raw = plan.fit(folded)
+    raw = plan.fit_kept(folded)
     split = {"cv_splits": config.cv_splits, "n_train": folded.count()}
     folded.unpersist()
     return CalibrationFit(CalibratedModel(members), raw, "cv", config.method, split, train)

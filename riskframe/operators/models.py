@@ -152,8 +152,12 @@ class ModelPlan:
     def fit(self, train: DataFrame) -> "FittedModel":
         """Fits preprocessing and classifier; the columns they need are kept for the passes it takes."""
         with kept(train, [*self.numerical, *self.categorical, LABEL]) as rows:
-            prep = self.preprocessor().fit_map(rows)
-            return self.fit_classifier(prep, prep.transform(rows))
+            return self.fit_kept(rows)
+
+    def fit_kept(self, rows: DataFrame) -> "FittedModel":
+        """The same on rows that are held already, or are a filter of held rows."""
+        prep = self.preprocessor().fit_rows(rows)
+        return self.fit_classifier(prep, prep.transform(rows))
 
     def fit_classifier(self, prep: FittedPreprocessor, transformed: DataFrame) -> "FittedModel":
         """Fits the classifier on rows that ``prep`` has transformed."""
@@ -251,9 +255,9 @@ def in_threads(tasks: Sequence[Callable[[], Any]], parallelism: int) -> list[Any
 
 
 def fit_folds(plan: ModelPlan, folded: DataFrame, k: int, parallelism: int = 1) -> list[FittedModel]:
-    """One model per fold, fitted with its preprocessing on the other folds."""
+    """One model per fold, fitted with its preprocessing on the other folds. ``folded`` is held."""
     return in_threads(
-        [lambda f=f: plan.fit(folded.where(F.col("fold") != f)) for f in range(k)], parallelism)
+        [lambda f=f: plan.fit_kept(folded.where(F.col("fold") != f)) for f in range(k)], parallelism)
 
 
 def score_folds(models: Sequence[FittedModel], folded: DataFrame) -> DataFrame:
@@ -287,7 +291,8 @@ def validation_scores(plan: ModelPlan, train: DataFrame, keys: Sequence[str], co
     config = config or CVConfig()
     if strategy == "oof":
         folded = assign_folds(train, LABEL, keys, config.n_splits, config.random_state)
-        models = fit_folds(plan, folded, config.n_splits, config.parallelism)
+        with kept(folded) as rows:
+            models = fit_folds(plan, rows, config.n_splits, config.parallelism)
         return score_folds(models, folded).select(*keys, LABEL, SCORE)
     if strategy == "holdout":
         parts = assign_parts(train, LABEL, keys, holdout_size, seed=seed)

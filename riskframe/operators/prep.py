@@ -192,9 +192,10 @@ class Preprocessor(Estimator):
     def fit_map(self, train: DataFrame) -> FittedPreprocessor:
         self.schema.require(train)
         with kept(train, self.schema.names) as rows:
-            return self._fit_rows(rows)
+            return self.fit_rows(rows)
 
-    def _fit_rows(self, train: DataFrame) -> FittedPreprocessor:
+    def fit_rows(self, train: DataFrame) -> FittedPreprocessor:
+        """The fit itself: one pass for moments, one for medians, one for categories."""
         config = self.config
         numeric = numeric_fill(train, self.schema.numerical, config.numerical_impute_strategy,
                                config.numerical_fill_value)

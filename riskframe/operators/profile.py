@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,8 +113,8 @@ def histogram(
 ) -> DataFrame:
     """(column, bin, lower, upper, n) for equal-width bins over each column's range.
 
-    The bin guess by division is corrected against the edges, so a value on an
-    edge is always in the upper bin; the last bin is closed. Empty bins are kept.
+    A value on an edge is in the upper bin, and the last bin is closed. Empty bins
+    are kept, missing values are left out.
     """
     columns = list(columns)[:max_columns]
     bounds = []
@@ -121,36 +122,26 @@ def histogram(
         value = F.col(quoted(c)).cast("double")
         bounds += [F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
     row = df.agg(*bounds).first()
-    spark = df.sparkSession
-    frame, binned = [], []
-    for i, c in enumerate(columns):
-        if row[f"lo{i}"] is None:
-            continue
-        edges = linear_edges(row[f"lo{i}"], row[f"hi{i}"], bins)
-        frame += [(c, b, edges[b], edges[b + 1]) for b in range(bins)]
-        value = F.col(quoted(c)).cast("double")
-        guess = F.floor((value - edges[0]) / (edges[-1] - edges[0]) * bins).cast("int")
-        guess = F.least(F.greatest(guess, F.lit(0)), F.lit(bins - 1))
-        lookup = F.array(*[F.lit(e) for e in edges])
-        # least and greatest skip NULL, so a missing value has to be kept apart.
-        exact = (
-            F.when(value.isNull(), F.lit(None).cast("int"))
-            .when(value < F.element_at(lookup, guess + 1), guess - 1)
-            .when((guess < bins - 1) & (value >= F.element_at(lookup, guess + 2)), guess + 1)
-            .otherwise(guess)
-        )
-        binned.append(exact.alias(c))
-    schema = "column string, bin int, lower double, upper double"
-    bins_frame = local_table(spark, frame, schema)
-    if not binned:
-        return bins_frame.withColumn("n", F.lit(0).cast("bigint"))
-    used = [c for i, c in enumerate(columns) if row[f"lo{i}"] is not None]
+    used = [i for i in range(len(columns)) if row[f"lo{i}"] is not None]
+    edges = {i: linear_edges(row[f"lo{i}"], row[f"hi{i}"], bins) for i in used}
+    frame = local_table(
+        df.sparkSession,
+        [(columns[i], b, edges[i][b], edges[i][b + 1]) for i in used for b in range(bins)],
+        "column string, bin int, lower double, upper double")
+    if not used:
+        return frame.withColumn("n", F.lit(0).cast("bigint"))
+    values = df.select(*[F.col(quoted(columns[i])).cast("double").alias(f"v{i}") for i in used])
+    # Missing values go to one bin more, which the join below has no row for.
+    binned = Bucketizer(
+        inputCols=[f"v{i}" for i in used], outputCols=[f"b{i}" for i in used],
+        splitsArray=[edges[i] for i in used], handleInvalid="keep").transform(values)
     counts = (
-        to_long(df.select(*binned), used, as_type="int", value="bin")
-        .where("bin is not null").groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+        to_long(binned.select(*[F.col(f"b{i}").alias(columns[i]) for i in used]),
+                [columns[i] for i in used], as_type="int", value="bin")
+        .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
     # Both sides hold at most bins x columns rows.
-    return bins_frame.join(F.broadcast(counts), ["column", "bin"], "left").withColumn(
+    return frame.join(F.broadcast(counts), ["column", "bin"], "left").withColumn(
         "n", F.coalesce("n", F.lit(0)))
 
 

@@ -63,7 +63,7 @@ def missing_counts(df: DataFrame) -> DataFrame:
     ])
     return counts.select("n_rows", F.inline(rows)).select(
         "column", "missing_count", "n_rows",
-        (F.col("missing_count") / F.col("n_rows")).alias("missing_fraction"),
+        F.try_divide("missing_count", "n_rows").alias("missing_fraction"),
     )
 
 

@@ -80,7 +80,7 @@ def random_search(plan: ModelPlan, train: DataFrame, keys: Sequence[str],
     candidates = draw_candidates(config.param_distributions, config.n_iter, config.random_state)
     folded = assign_folds(train, LABEL, keys, k, config.random_state).persist()
     preps = in_threads(
-        [lambda f=f: plan.preprocessor().fit_map(folded.where(F.col("fold") != f)) for f in range(k)],
+        [lambda f=f: plan.preprocessor().fit_rows(folded.where(F.col("fold") != f)) for f in range(k)],
         config.parallelism)
     frames = [
         preps[f].transform(folded).select(*keys, F.col(LABEL).cast("double").alias(LABEL), "fold", FEATURES).persist()
@@ -106,7 +106,7 @@ def random_search(plan: ModelPlan, train: DataFrame, keys: Sequence[str],
     oof = reduce(DataFrame.unionByName, [
         scored[i].where("role = 'test'") for i, (c, _) in enumerate(jobs) if c == best["candidate"]
     ]).select(*keys, LABEL, SCORE)
-    model = winner.fit(folded)
+    model = winner.fit_kept(folded)
     gap = (best["mean_train_score"] or 0.0) - (best["mean_test_score"] or 0.0)
     if config.scoring in LOSSES:
         gap = -gap
