@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 
 # Up to this many rows one sort task per group is fine.
 SINGLE_SORT_ROWS = 2_000_000
-BUCKETS = 256
+# The most buckets a sort is cut into; their totals are broadcast.
+MAX_BUCKETS = 10_000
 
 
-def bucket_edges(df: DataFrame, order_col: str, buckets: int = BUCKETS) -> list[float]:
-    """Inner edges that cut the rows of ``df`` into buckets of like size."""
+def bucket_edges(df: DataFrame, order_col: str, rows: int, rows_per_bucket: int = SINGLE_SORT_ROWS) -> list[float]:
+    """Inner edges that cut ``df``, of at most ``rows`` rows, into buckets of like size."""
+    buckets = min(MAX_BUCKETS, max(2, -(-rows // rows_per_bucket)))
     probs = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(order_col, probs, 10_000).alias("e")).first()["e"] or []
+    # The rank error of the sketch stays well below a bucket.
+    accuracy = max(10_000, 10 * buckets)
+    edges = df.agg(F.percentile_approx(order_col, probs, accuracy).alias("e")).first()["e"] or []
     return sorted(set(edges))
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Any
 
 import numpy as np
@@ -85,11 +86,21 @@ class TreeBoxes:
     base: float
     used: list[int]
 
+    @cached_property
+    def tables(self) -> list[np.ndarray | None]:
+        """Shares per leaf for every pattern of met conditions; made once per Python worker."""
+        made: list[np.ndarray | None] = []
+        for leaf in self.leaves:
+            d = len(leaf.features)
+            patterns = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1 if d <= TABLE_FEATURES else None
+            made.append(None if patterns is None else leaf_shares(patterns.astype(float), leaf.z, leaf.value))
+        return made
+
     def shares(self, x: np.ndarray) -> np.ndarray:
         """Shapley values (rows x used features) of rows given as used features."""
         at = {slot: i for i, slot in enumerate(self.used)}
         out = np.zeros((len(x), len(self.used)))
-        for leaf in self.leaves:
+        for leaf, table in zip(self.leaves, self.tables):
             columns = [at[s] for s in leaf.features]
             d = len(columns)
             met = np.empty((len(x), d), dtype=bool)
@@ -98,12 +109,10 @@ class TreeBoxes:
                 met[:, j] = (value > leaf.low[j]) & (value <= leaf.high[j])
                 if leaf.cats[j] is not None:
                     met[:, j] &= np.isin(value, list(leaf.cats[j]))
-            if d <= TABLE_FEATURES:
-                patterns = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1
-                table = leaf_shares(patterns.astype(float), leaf.z, leaf.value)
-                out[:, columns] += table[met @ (1 << np.arange(d))]
-            else:
+            if table is None:
                 out[:, columns] += leaf_shares(met.astype(float), leaf.z, leaf.value)
+            else:
+                out[:, columns] += table[met @ (1 << np.arange(d))]
         return out
 
 
@@ -227,18 +236,26 @@ class Attributor:
             *[F.col(quoted(k)) for k in keys], F.element_at(slots, F.col("__i") + 1).alias("slot"), "shap")
 
     def swarm(self, df: DataFrame, keys: Sequence[str], max_display: int = 20) -> DataFrame:
-        """(keys, slot, transformed, value, shap) for the slots with the largest mean |shap|."""
+        """(keys, slot, transformed, value, shap) for the slots with the largest mean |shap|.
+
+        The top slots are found first, so the rows that leave the attribution hold
+        no others.
+        """
         if not self.boxes.used:
             raise AttributionError("the trees use no feature")
-        out = self._with_used(df).withColumn("__shap", self._udf(False)("__used"))
-        pairs = out.select(*[F.col(quoted(k)) for k in keys],
-                           F.posexplode(F.arrays_zip(F.col("__used").alias("value"), F.col("__shap").alias("shap"))).alias("__i", "__p"))
-        slots = F.array(*[F.lit(s) for s in self.boxes.used])
-        rows = pairs.select(*[F.col(quoted(k)) for k in keys], F.element_at(slots, F.col("__i") + 1).alias("slot"),
-                            F.col("__p.value").alias("value"), F.col("__p.shap").alias("shap"))
         top = self.slot_importance(df).orderBy(F.col("mean_abs_shap").desc(), "slot").limit(max_display)
-        # At most max_display rows.
-        return rows.join(F.broadcast(top.select("slot", "transformed")), "slot")
+        shown = [r["slot"] for r in top.collect() if r["slot"] in set(self.boxes.used)]
+        out = self._with_used(df).withColumn("__shap", self._udf(False)("__used"))
+        at = {slot: i for i, slot in enumerate(self.boxes.used)}
+        names = self.model.prep.feature_names
+        cells = F.array(*[F.struct(
+            F.lit(s).alias("slot"), F.lit(names[s]).alias("transformed"),
+            F.col("__used")[at[s]].alias("value"), F.col("__shap")[at[s]].alias("shap")) for s in shown])
+        return out.select(*[F.col(quoted(k)) for k in keys], F.inline(cells))
+
+    def bar(self, df: DataFrame, max_display: int = 20) -> DataFrame:
+        """The original features with the largest importance."""
+        return self.importance(df).limit(max_display)
 
     def slot_importance(self, df: DataFrame) -> DataFrame:
         """(slot, transformed, original, mean_abs_shap) for every slot."""

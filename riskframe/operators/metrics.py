@@ -73,8 +73,9 @@ def ranked_scores(df: DataFrame, counts: DataFrame, group_cols: Sequence[str] =
     as no column is read; only above the limit are the scores cut into buckets.
     """
     edges: list[float] = []
-    if df.count() > single_sort_rows:
-        edges = bucket_edges(counts, "score")
+    rows = df.count()
+    if rows > single_sort_rows:
+        edges = bucket_edges(counts, "score", rows, single_sort_rows)
     return running_totals(counts, "score", ["pos", "neg"], group_cols, edges, lead=lead)
 
 

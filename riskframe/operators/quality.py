@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.errors import DataValidationError, SchemaValidationError
-from riskframe.functions.columns import is_missing, is_numeric, quoted, to_long
+from riskframe.functions.columns import is_missing, is_numeric, kept, quoted, to_long
 from riskframe.functions.local import local_table
 
 logger = logging.getLogger(__name__)
@@ -102,6 +102,11 @@ def check_target(distribution: DataFrame, allowed: Sequence[Any] | None = None)
     Value counts are aggregated again before anything reaches the driver, so a
     continuous target does no harm. A target with missing values only raises.
     """
+    with kept(distribution) as counts:
+        return _check_counts(counts, allowed)
+
+
+def _check_counts(distribution: DataFrame, allowed: Sequence[Any] | None) -> TargetCheck:
     value = F.col("target")
     counts = distribution.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
