@@ -50,6 +50,13 @@ def checked_label(name: str) -> Column:
     )
 
 
+def checked_score(name: str) -> Column:
+    """The score as a double; a missing one fails the job."""
+    value = F.col(quoted(name)).cast("double")
+    missing = F.raise_error(F.lit(f"column {name} must hold a score in every row")).cast("double")
+    return F.when(value.isNull() | F.isnan(value), missing).otherwise(value)
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Ratio that is 0 where the denominator is 0."""
     return F.when(denominator == 0, F.lit(0.0)).otherwise(numerator / denominator)

@@ -231,8 +231,12 @@ class Attributor:
     def long(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """(keys, slot, shap) for the slots the trees use; every other slot has value 0."""
         out = self._attributed(df, "__shap", False)
+        if not self.boxes.used:
+            out = out.where(F.lit(False))
+        # A plain explode lets the optimizer filter on the array's size, which would
+        # run the attribution twice; the arrays are never empty.
         slots = F.array(*[F.lit(s) for s in self.boxes.used]) if self.boxes.used else F.array().cast("array<int>")
-        return out.select(*[F.col(quoted(k)) for k in keys], F.posexplode("__shap").alias("__i", "shap")).select(
+        return out.select(*[F.col(quoted(k)) for k in keys], F.posexplode_outer("__shap").alias("__i", "shap")).select(
             *[F.col(quoted(k)) for k in keys], F.element_at(slots, F.col("__i") + 1).alias("slot"), "shap")
 
     def swarm(self, df: DataFrame, keys: Sequence[str], max_display: int = 20) -> DataFrame:
@@ -251,7 +255,7 @@ class Attributor:
         cells = F.array(*[F.struct(
             F.lit(s).alias("slot"), F.lit(names[s]).alias("transformed"),
             F.col("__used")[at[s]].alias("value"), F.col("__shap")[at[s]].alias("shap")) for s in shown])
-        return out.select(*[F.col(quoted(k)) for k in keys], F.inline(cells))
+        return out.select(*[F.col(quoted(k)) for k in keys], F.inline_outer(cells))
 
     def bar(self, df: DataFrame, max_display: int = 20) -> DataFrame:
         """The original features with the largest importance."""

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from riskframe.config import CALIBRATION_METHODS, CALIBRATION_STRATEGIES, CalibrationConfig
 from riskframe.errors import CalibrationError
-from riskframe.functions.columns import checked_label, quoted, to_long
+from riskframe.functions.columns import checked_label, checked_score, quoted, to_long
 from riskframe.operators.metrics import METRICS, classification_metrics
 from riskframe.operators.models import (
     LABEL, SCORE, FittedModel, ModelPlan, fit_folds, in_threads,
@@ -185,7 +185,7 @@ def stages_long(df: DataFrame, before: str, after: str, label: str = LABEL) -> D
     """(stage, label, p): both scores of every row, one under the other."""
     renamed = df.select(
         checked_label(label).alias(LABEL),
-        F.col(quoted(before)).alias("before"), F.col(quoted(after)).alias("after"))
+        checked_score(before).alias("before"), checked_score(after).alias("after"))
     return to_long(renamed, ["before", "after"], keep=[LABEL], as_type="double", name="stage", value=SCORE)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import checked_label, quoted, safe_ratio
+from riskframe.functions.columns import checked_label, checked_score, safe_ratio
 from riskframe.functions.local import local_table
 from riskframe.functions.running import SINGLE_SORT_ROWS, bucket_edges, running_totals
 
@@ -54,9 +54,7 @@ def score_counts(
     pred: str | None = None, threshold: float = 0.5,
 ) -> DataFrame:
     """(groups, score, pos, neg, tp, fp, tn, fn): one row per distinct score."""
-    score = F.col(quoted(proba)).cast("double")
-    score = F.when(score.isNull() | F.isnan(score), F.raise_error(F.lit(f"{proba} is missing")).cast("double")
-                   ).otherwise(score)
+    score = checked_score(proba)
     decided = checked_label(pred) if pred else (score >= F.lit(threshold)).cast("int")
     base = df.select(*group_cols, score.alias("score"), checked_label(label).alias("y"), decided.alias("p"))
     return base.groupBy(*group_cols, "score").agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskframe.config import THRESHOLD_STRATEGIES
 from riskframe.errors import ThresholdSelectionError
-from riskframe.functions.columns import checked_label, quoted, safe_ratio
+from riskframe.functions.columns import checked_label, checked_score, quoted, safe_ratio
 from riskframe.functions.local import local_table
 from riskframe.operators.metrics import with_prf
 from riskframe.sources.sinks import read_json, write_json, write_table
@@ -30,7 +30,7 @@ def sweep(df: DataFrame, label: str = "label", proba: str = "p",
     grid = sorted(set(float(t) for t in thresholds))
     spark = df.sparkSession
     splits = [float("-inf"), *grid, float("inf")]
-    base = df.select(checked_label(label).alias("y"), F.col(quoted(proba)).cast("double").alias("score"))
+    base = df.select(checked_label(label).alias("y"), checked_score(proba).alias("score"))
     bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="reached").transform(base)
     counts = bucketed.groupBy("reached").agg(
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))

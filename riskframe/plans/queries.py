@@ -653,7 +653,7 @@ def shap_local_topn(spark, d):
     rows = scoring.explain(_all_docs(spark, d), loaded, DOC_KEYS, top_n=3)
     return plain(rows.select(
         "doc_id", "prediction_probability", "prediction", "threshold_used",
-        F.inline("top_features")))
+        F.inline_outer("top_features")))
 
 
 # Scoring jobs

@@ -133,3 +133,17 @@ def test_only_trees(spark, training):
     linear = models.model_plan("logistic_regression", NUMBERS, ["category"]).fit(training)
     with pytest.raises(AttributionError):
         attribution.Attributor(linear, spark)
+
+
+def test_attribution_runs_once_per_row(training, explainer):
+    for df in (explainer.long(training, ["row_id"]), explainer.swarm(training, ["row_id"], 3), explainer.importance(training)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_model_without_any_split(spark, training):
+    plan = models.model_plan("boosted_trees", NUMBERS, ["category"], model=ModelConfig(
+        boosted_trees_params={"n_estimators": 2, "max_depth": 1, "min_child_weight": 10_000}))
+    flat = attribution.Attributor(plan.fit(training), spark)
+    assert flat.long(training, ["row_id"]).count() == 0
+    assert flat.impacts(training).first()["impacts"] == [0.0] * 5
+    assert {r["mean_abs_shap"] for r in flat.importance(training).collect()} == {0.0}

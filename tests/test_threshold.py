@@ -72,3 +72,9 @@ def test_save_and_load(spark, table, tmp_path):
 def test_tradeoff_marks_one_row(table):
     rows = threshold.tradeoff_table(table, 0.304).where("selected").collect()
     assert [r["threshold"] for r in rows] == [0.3]
+
+
+def test_missing_scores_fail(spark):
+    df = spark.createDataFrame([(1, 0.5), (0, None)], "label int, p double")
+    with pytest.raises(Exception, match="must hold a score"):
+        threshold.sweep(df).collect()
