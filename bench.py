@@ -30,18 +30,17 @@ def main() -> None:
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
+
+    def run(name: str) -> float:
+        start = time.perf_counter()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    # One warm-up over all queries, then timed runs; slow queries are timed once.
+    warm = {name: run(name) for name in HEADLINE}
     seconds = {}
     for name in HEADLINE:
-        times = []
-        # The first run warms up; slow queries are not repeated more than once.
-        for run in range(RUNS + 1):
-            start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            taken = time.perf_counter() - start
-            if run:
-                times.append(taken)
-            if run and taken > SINGLE_RUN_SECONDS:
-                break
+        times = [run(name) for _ in range(1 if warm[name] > SINGLE_RUN_SECONDS else RUNS)]
         seconds[name] = round(statistics.median(times), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr)
     print(json.dumps({

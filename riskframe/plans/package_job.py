@@ -42,6 +42,24 @@ class PackageOutcome:
     differences: int
 
 
+def save_version(spark: SparkSession, plan: ModelPlan, fit: CalibrationFit, chosen: dict[str, Any],
+                 comparison: dict[str, Any], config: Config, version: str) -> Bundle:
+    """Writes the bundle of a fitted model and its chosen threshold, and loads it again."""
+    artifacts = config.artifacts
+    metadata = model_metadata(
+        artifacts.model_name, version, plan.name, fit.method, fit.strategy,
+        chosen["threshold"], chosen["strategy"], plan.seed, plan.numerical, plan.categorical,
+        config.data.target_column or LABEL, plan.params,
+        {m: comparison[f"after_{m}"] for m in METRICS},
+        {m: comparison[m] for m in ("brier_score_delta", "log_loss_delta")})
+    document = {
+        "threshold": chosen["threshold"], "strategy": chosen["strategy"], "rationale": chosen["rationale"],
+        "metrics_at_threshold": {c: chosen[c] for c in SWEEP_COLUMNS[1:]},
+    }
+    save_bundle(spark, version, fit.calibrated, fit.raw, document, metadata, artifacts)
+    return load_bundle(spark, version, artifacts)
+
+
 def package(spark: SparkSession, plan: ModelPlan, train: DataFrame, keys: Sequence[str], config: Config,
             version: str) -> PackageOutcome:
     """Everything after the split, from training rows to a reloaded bundle."""
@@ -70,18 +88,7 @@ def package(spark: SparkSession, plan: ModelPlan, train: DataFrame, keys: Sequen
         write_table(importance.importance, f"{folder}/feature_importance")
         write_json(spark, importance.summary, f"{folder}/summary")
 
-    metadata = model_metadata(
-        artifacts.model_name, version, plan.name, config.calibration.method, config.calibration.strategy,
-        row["threshold"], settings.strategy, plan.seed, plan.numerical, plan.categorical,
-        config.data.target_column or LABEL, plan.params,
-        {m: comparison[f"after_{m}"] for m in METRICS},
-        {m: comparison[m] for m in ("brier_score_delta", "log_loss_delta")})
-    document = {
-        "threshold": row["threshold"], "strategy": row["strategy"], "rationale": row["rationale"],
-        "metrics_at_threshold": {c: row[c] for c in SWEEP_COLUMNS[1:]},
-    }
-    save_bundle(spark, version, fit.calibrated, fit.raw, document, metadata, artifacts)
-    loaded = load_bundle(spark, version, artifacts)
+    loaded = save_version(spark, plan, fit, row, comparison, config, version)
     columns = [*keys, CALIBRATED]
     differences = reload_differences(
         fit.calibrated.score(fit.calibration_rows).select(*columns),

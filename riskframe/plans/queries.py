@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import ArtifactConfig, CalibrationConfig, Config, CVConfig, ModelConfig, TuningConfig
+from riskframe.functions.columns import kept
 from riskframe.functions.local import local_table
 from riskframe.operators import (
     attribution, bundle, calibration, metrics, models, prep, profile, quality, scoring, split, threshold, tuning,
@@ -491,8 +492,14 @@ def _bundle(spark, d):
         config = Config()
         config.artifacts = ArtifactConfig.below(scratch_path(spark, "bundle"))
         config.data.target_column = "quality"
-        outcome = package_job.package(spark, _plan("boosted_trees"), train, DOC_KEYS, config, VERSION)
-        _SAVED[key] = outcome.bundle, config.artifacts
+        plan = _plan("boosted_trees")
+        fit = calibration.fit_calibrated(plan, train, DOC_KEYS)
+        with kept(fit.calibrated.score(fit.raw.score(fit.calibration_rows))) as rows:
+            report = calibration.compare(rows, models.SCORE, calibration.CALIBRATED).first().asDict()
+            _, chosen = threshold.choose(rows, "maximize_f1", proba=calibration.CALIBRATED)
+        loaded = package_job.save_version(
+            spark, plan, fit, chosen.first().asDict(), report, config, VERSION)
+        _SAVED[key] = loaded, config.artifacts
     return _SAVED[key]
 
 
