@@ -17,13 +17,17 @@ from riskframe.errors import BundleLoadError
 from riskframe.functions.local import local_table
 from riskframe.operators.attribution import Attributor
 from riskframe.operators.calibration import CALIBRATED, CalibratedModel
-from riskframe.operators.models import FittedModel
+from riskframe.operators.models import FittedModel, in_threads
 from riskframe.operators.prep import FittedPreprocessor
 from riskframe.operators.quality import FeatureSchema
 from riskframe.operators.threshold import apply_threshold
 from riskframe.sources.sinks import path_exists, read_json, write_json
 
 
+# Pipelines of a bundle that are written or read at the same time.
+PARALLEL_FILES = 4
+
+
 def model_metadata(
     model_name: str, model_version: str, model_type: str, calibration_method: str, calibration_strategy: str,
     threshold: float, threshold_strategy: str, training_random_state: int, numerical: Sequence[str],
@@ -114,10 +118,10 @@ def save_bundle(spark: SparkSession, version: str, calibrated: CalibratedModel,
                 config: ArtifactConfig) -> dict[str, str]:
     """Writes the five parts of a version and adds it to the registry."""
     parts = _parts(config, version)
-    for i, member in enumerate(calibrated.members):
-        member.write().overwrite().save(f"{parts['model']}/member_{i}")
+    pipelines = {f"{parts['model']}/member_{i}": m for i, m in enumerate(calibrated.members)}
+    pipelines[parts["raw pipeline"]] = raw.pipeline()
+    in_threads([lambda u=u, m=m: m.write().overwrite().save(u) for u, m in pipelines.items()], PARALLEL_FILES)
     write_json(spark, {"members": len(calibrated.members)}, f"{parts['model']}/members")
-    raw.pipeline().write().overwrite().save(parts["raw pipeline"])
     write_json(spark, {**raw.prep.document(), "name": raw.name, "family": raw.family}, parts["attribution metadata"])
     write_json(spark, threshold_document, parts["threshold"])
     write_json(spark, metadata, parts["model metadata"])
@@ -143,9 +147,9 @@ def load_bundle(spark: SparkSession, version: str, config: ArtifactConfig) -> Bu
         raise BundleLoadError("the model metadata lacks the feature lists")
 
     members = read_json(spark, f"{parts['model']}/members")["members"]
-    calibrated = CalibratedModel(
-        [PipelineModel.load(f"{parts['model']}/member_{i}") for i in range(members)])
-    raw = PipelineModel.load(parts["raw pipeline"])
+    uris = [f"{parts['model']}/member_{i}" for i in range(members)] + [parts["raw pipeline"]]
+    *pipelines, raw = in_threads([lambda u=u: PipelineModel.load(u) for u in uris], PARALLEL_FILES)
+    calibrated = CalibratedModel(pipelines)
     prep = FittedPreprocessor.of(PipelineModel(raw.stages[:-1]), attribution)
     return Bundle(
         version, calibrated, FittedModel(attribution["name"], attribution["family"], prep, raw.stages[-1]),
