@@ -91,6 +91,13 @@ class LinearModel(Estimator):
         return estimator.fit(with_weights(dataset, weights))
 
 
+# Boosting parameters that have a counterpart in Spark.
+TREE_PARAMS = (
+    "n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight",
+    "min_gain", "max_bins", "random_state",
+)
+
+
 class TreeModel(Estimator):
     """Gradient boosted trees; the log-odds are twice the sum of the trees."""
 
@@ -100,6 +107,9 @@ class TreeModel(Estimator):
 
     def _fit(self, dataset: DataFrame):
         p = self.params_
+        unknown = sorted(set(p) - set(TREE_PARAMS))
+        if unknown:
+            logger.warning("boosting parameters without a counterpart are ignored: %s", unknown)
         estimator = GBTClassifier(
             featuresCol=FEATURES, labelCol=LABEL, seed=int(p.get("random_state", self.seed_)),
             maxIter=int(p.get("n_estimators", 200)), maxDepth=int(p.get("max_depth", 4)),

@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import quoted, to_long
+from riskframe.functions.columns import nan_to_null, quoted, to_long
 from riskframe.functions.local import local_table
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.quality import missing_counts
@@ -38,6 +38,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], exact: bool = True) -
               "p25 double, p50 double, p75 double, max double")
     if not columns:
         return local_table(spark, [], schema)
+    df = nan_to_null(df)
     aggregates = []
     for i, c in enumerate(columns):
         value = F.col(quoted(c)).cast("double")
@@ -117,6 +118,7 @@ def histogram(
     are kept, missing values are left out.
     """
     columns = list(columns)[:max_columns]
+    df = nan_to_null(df)
     bounds = []
     for i, c in enumerate(columns):
         value = F.col(quoted(c)).cast("double")
@@ -156,6 +158,7 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
     block = PAIRWISE_COLUMNS * PAIRWISE_COLUMNS // 2
+    df = nan_to_null(df)
     value = [F.col(quoted(c)).cast("double") for c in columns]
     rows = []
     for start in range(0, len(pairs), block):

@@ -89,3 +89,11 @@ def test_overview(df):
     assert [(r["column"], r["dtype"]) for r in rows] == [
         ("x", "double"), ("y", "double"), ("z", "double"), ("c", "string")]
     assert rows[0]["n_rows"] == 500
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (float("nan"), 5.0), (3.0, 4.0)], "x double, y double")
+    row = profile.numeric_summary(df, ["x"]).first()
+    assert (row["n"], row["mean"], row["max"]) == (2, 2.0, 3.0)
+    assert sum(r["n"] for r in profile.histogram(df, ["x"]).collect()) == 2
+    assert profile.correlation(df, ["x", "y"]).where("column_a <> column_b").first()["correlation"] == pytest.approx(1.0)
