@@ -16,11 +16,12 @@ K, PICKS, TUPLES = 8, 2, 48
 BUCKET_ROWS = 4000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CELLS = 1 << 17
+_CELLS = 1 << 18
 
 
 def _seeds(count: int) -> np.ndarray:
-    return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
+    mixed = mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return (mixed >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def order_minhash(text: str | None, k: int = K, picks: int = PICKS, tuples: int = TUPLES) -> str:
@@ -53,7 +54,9 @@ def order_minhash(text: str | None, k: int = K, picks: int = PICKS, tuples: int
     numbered = mix(kmers + number * np.uint64(0xD6E8FEB86659FD93))
 
     take = min(picks, n)
+    # Products of 32 bits order the k-mers; equal products go by position.
     seeds = _seeds(tuples)
+    numbered = (numbered >> np.uint64(32)).astype(np.uint32)
     step = max(1, _CELLS // n)
     chosen = np.empty((tuples, take), dtype=np.int64)
     for first in range(0, tuples, step):
@@ -62,14 +65,14 @@ def order_minhash(text: str | None, k: int = K, picks: int = PICKS, tuples: int
             best = np.argsort(values, axis=1, kind="stable")[:, :take]
         else:
             # Only values below a bound are sorted; the bound is doubled until every row has enough.
-            bound = (2**64 - 1) // n * (take + 10)
+            bound = 2**32 // n * (take + 10)
             while True:
-                cells = np.flatnonzero(values < np.uint64(min(bound, 2**64 - 1)))
+                cells = np.flatnonzero(values < np.uint32(min(bound, 2**32 - 1)))
                 rows = cells // n
                 counts = np.bincount(rows, minlength=len(values))
                 if counts.min() >= take:
                     break
-                bound *= 2
+                bound *= 2  # at the largest bound only the largest value is left out
             cells = cells[np.lexsort((values.ravel()[cells], rows))]
             starts = np.r_[0, np.cumsum(counts)[:-1]]
             best = cells[starts[:, None] + np.arange(take)[None, :]] % n
