@@ -77,9 +77,8 @@ class PreprocessingConfig:
     scale_numerical: bool = True
     encode_categorical: str = "onehot"
     onehot_drop: str | None = None
-    # A one-hot slot is a model weight: more distinct values than this in one
-    # column is an error, never a silent cut.
-    max_categories: int = 100_000
+    # With a limit, more distinct values in one column are an error, never a silent cut.
+    max_categories: int | None = None
 
     def __post_init__(self) -> None:
         _one_of(self.numerical_impute_strategy, NUMERICAL_STRATEGIES, "numerical_impute_strategy")
@@ -87,7 +86,7 @@ class PreprocessingConfig:
                 "categorical_impute_strategy")
         _one_of(self.encode_categorical, ENCODINGS, "encode_categorical")
         _one_of(self.onehot_drop, ONEHOT_DROPS, "onehot_drop")
-        _require(self.max_categories >= 1, "max_categories must be >= 1.")
+        _require(self.max_categories is None or self.max_categories >= 1, "max_categories must be >= 1.")
 
 
 @dataclass
@@ -209,14 +208,16 @@ class CalibrationConfig:
 
 @dataclass
 class ExplainabilityConfig:
-    global_sample_size: int = 500
+    # All rows, unless a sample is asked for.
+    global_sample_size: int | None = None
     top_n_local_features: int = 5
     max_display_features: int = 20
     random_state: int = 42
 
     def __post_init__(self) -> None:
         for name in ("global_sample_size", "top_n_local_features", "max_display_features"):
-            _require(getattr(self, name) >= 1, f"{name} must be >= 1.")
+            value = getattr(self, name)
+            _require(value is None or value >= 1, f"{name} must be >= 1.")
 
 
 @dataclass

@@ -8,15 +8,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows one sort task per group is fine.
-SINGLE_SORT_ROWS = 2_000_000
-# The most buckets a sort is cut into; their totals are broadcast.
-MAX_BUCKETS = 10_000
-
-
-def bucket_edges(df: DataFrame, order_col: str, rows: int, rows_per_bucket: int = SINGLE_SORT_ROWS) -> list[float]:
-    """Inner edges that cut ``df``, of at most ``rows`` rows, into buckets of like size."""
-    buckets = min(MAX_BUCKETS, max(2, -(-rows // rows_per_bucket)))
+def bucket_edges(df: DataFrame, order_col: str, buckets: int | None = None) -> list[float]:
+    """Inner edges that cut ``df`` into buckets of like size, as many as there are shuffle partitions."""
+    buckets = max(2, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / buckets for i in range(1, buckets)]
     # The rank error of the sketch stays well below a bucket.
     accuracy = max(10_000, 10 * buckets)
@@ -42,18 +36,8 @@ def running_totals(
     """
     groups = list(group_cols)
     descending = F.col(order_col).desc()
-    if not edges:
-        window = Window.partitionBy(*groups).orderBy(descending)
-        before = window.rowsBetween(Window.unboundedPreceding, -1)
-        out = df.withColumns({
-            f"{v}_before": F.coalesce(F.sum(v).over(before), F.lit(0)) for v in values
-        })
-        if lead:
-            out = out.withColumns({f"{v}_next": F.lead(v).over(window) for v in values})
-        return out
-
     # The bucket is a function of the value, so equal values stay together.
-    splits = [float("-inf"), *edges, float("inf")]
+    splits = sorted({float("-inf"), float("inf"), *(edges or [0.0])})
     bucketed = Bucketizer(splits=splits, inputCol=order_col, outputCol="__bucket").transform(df)
 
     inside = Window.partitionBy(*groups, "__bucket").orderBy(descending)
@@ -82,7 +66,7 @@ def running_totals(
     match = F.col("__bucket") == F.col("__b")
     for i, g in enumerate(groups):
         match = match & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    joined = out.join(F.broadcast(totals), match)
+    joined = out.join(totals, match)
     result = [F.col(c) for c in df.columns]
     result += [(F.col(f"__{v}_in") + F.col(f"__{v}_base")).alias(f"{v}_before") for v in values]
     if lead:

@@ -308,7 +308,7 @@ class GlobalReport:
     summary: dict[str, Any]
 
 
-def explain_global(attributor: Attributor, df: DataFrame, keys: Sequence[str], sample_size: int | None = 500,
+def explain_global(attributor: Attributor, df: DataFrame, keys: Sequence[str], sample_size: int | None = None,
                    seed: int = 42) -> GlobalReport:
     """Importance of the original features over a seeded sample of rows, or all of them."""
     rows = df if sample_size is None else sample_rows(df, sample_size, keys, seed)

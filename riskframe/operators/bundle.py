@@ -91,12 +91,12 @@ class Bundle:
     attribution: dict[str, Any]
     schema: FeatureSchema
 
-    def predict_proba(self, df: DataFrame, output: str = CALIBRATED) -> DataFrame:
-        self.schema.validate(df)
+    def predict_proba(self, df: DataFrame, output: str = CALIBRATED, known: Sequence[str] = ()) -> DataFrame:
+        self.schema.validate(df, known=known)
         return self.calibrated.score(df, output)
 
-    def predict(self, df: DataFrame, output: str = CALIBRATED) -> DataFrame:
-        return apply_threshold(self.predict_proba(df, output), self.threshold, output)
+    def predict(self, df: DataFrame, output: str = CALIBRATED, known: Sequence[str] = ()) -> DataFrame:
+        return apply_threshold(self.predict_proba(df, output, known), self.threshold, output)
 
     def attributor(self, spark: SparkSession) -> Attributor:
         return Attributor(self.raw, spark)

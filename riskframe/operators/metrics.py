@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import checked_label, checked_score, safe_ratio
 from riskframe.functions.local import local_table
-from riskframe.functions.running import SINGLE_SORT_ROWS, bucket_edges, running_totals
+from riskframe.functions.running import bucket_edges, running_totals
 
 # Fixed value: the machine epsilon of a double, the clip of the log loss.
 EPSILON = 2.220446049250313e-16
@@ -63,18 +63,10 @@ def score_counts(
     )
 
 
-def ranked_scores(df: DataFrame, counts: DataFrame, group_cols: Sequence[str] = (), lead: bool = False,
-                  single_sort_rows: int = SINGLE_SORT_ROWS) -> DataFrame:
-    """Score counts with the totals of higher scores. ``df`` is the input of ``counts``.
-
-    The input's row count bounds the number of distinct scores and costs little,
-    as no column is read; only above the limit are the scores cut into buckets.
-    """
-    edges: list[float] = []
-    rows = df.count()
-    if rows > single_sort_rows:
-        edges = bucket_edges(counts, "score", rows, single_sort_rows)
-    return running_totals(counts, "score", ["pos", "neg"], group_cols, edges, lead=lead)
+def ranked_scores(counts: DataFrame, group_cols: Sequence[str] = (), lead: bool = False,
+                  buckets: int | None = None) -> DataFrame:
+    """Score counts with the totals of higher scores; the distinct scores are cut into buckets first."""
+    return running_totals(counts, "score", ["pos", "neg"], group_cols, bucket_edges(counts, "score", buckets), lead=lead)
 
 
 def classification_metrics(
@@ -84,7 +76,7 @@ def classification_metrics(
     pred: str | None = None,
     threshold: float = 0.5,
     group_cols: Sequence[str] = (),
-    single_sort_rows: int = SINGLE_SORT_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per group with all metrics and the confusion counts.
 
@@ -98,8 +90,7 @@ def classification_metrics(
         return plain.withColumns({m: F.lit(None).cast("double") for m in METRICS[3:]}).select(
             *groups, *METRICS, *COUNTS)
 
-    ranked = ranked_scores(df, score_counts(df, label, proba, groups, pred, threshold), groups,
-                           single_sort_rows=single_sort_rows)
+    ranked = ranked_scores(score_counts(df, label, proba, groups, pred, threshold), groups, buckets=buckets)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     tp_upto = F.col("pos_before") + F.col("pos")
     all_upto = tp_upto + F.col("neg_before") + F.col("neg")
@@ -124,14 +115,14 @@ def classification_metrics(
 
 
 def roc_curve(df: DataFrame, label: str = "label", proba: str = "p", drop_collinear: bool = True,
-              single_sort_rows: int = SINGLE_SORT_ROWS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) from the start point (infinity, 0, 0) on, thresholds descending.
 
     With ``drop_collinear`` a point stays only if the step after it differs from
     the step to it; the first and the last score always stay.
     """
     counts = score_counts(df, label, proba)
-    ranked = ranked_scores(df, counts, lead=drop_collinear, single_sort_rows=single_sort_rows)
+    ranked = ranked_scores(counts, lead=drop_collinear, buckets=buckets)
     totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     # Without any row of a class its rate is not defined.
     P, N = (F.lit(totals[k] or None).cast("double") for k in ("P", "N"))
@@ -150,10 +141,10 @@ def roc_curve(df: DataFrame, label: str = "label", proba: str = "p", drop_collin
 
 
 def pr_curve(df: DataFrame, label: str = "label", proba: str = "p",
-             single_sort_rows: int = SINGLE_SORT_ROWS) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """(threshold, precision, recall) per distinct score, plus the end point (NULL, 1, 0)."""
     counts = score_counts(df, label, proba)
-    ranked = ranked_scores(df, counts, single_sort_rows=single_sort_rows)
+    ranked = ranked_scores(counts, buckets=buckets)
     positives = counts.agg(F.sum("pos").alias("P")).first()["P"]
     tp = F.col("pos_before") + F.col("pos")
     points = ranked.select(

@@ -79,15 +79,23 @@ def scale_statistics(df: DataFrame, columns: Sequence[str],
     terms = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
         value = filled(df, c, None, "double")
-        terms += [F.count(value).alias(f"n{i}"), F.avg(value).alias(f"m{i}"), F.var_pop(value).alias(f"v{i}")]
+        terms += [F.count(value).alias(f"n{i}"), F.avg(value).alias(f"m{i}"), F.var_pop(value).alias(f"v{i}"),
+                  F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
     row = df.agg(*terms).first()
     found = {}
     for i, c in enumerate(columns):
         n, mean, var = row[f"n{i}"], row[f"m{i}"] or 0.0, row[f"v{i}"] or 0.0
         gaps, value = row["rows"] - n, fill[c] or 0.0
+        seen = {row[f"lo{i}"], row[f"hi{i}"], value if gaps else row[f"lo{i}"]} - {None}
+        if len(seen) == 1:
+            # One value throughout: its moments are known without rounding.
+            found[c] = (seen.pop(), 1.0)
+            continue
         both = (n * mean + gaps * value) / row["rows"]
         spread = (n * (var + (mean - both) ** 2) + gaps * (value - both) ** 2) / row["rows"]
-        found[c] = (both, math.sqrt(spread) or 1.0)
+        # Below this the spread is rounding error of the mean.
+        noise = row["rows"] * (2.0 ** -52 * both) ** 2
+        found[c] = (both, math.sqrt(spread) if spread > noise else 1.0)
     return found
 
 
@@ -99,10 +107,10 @@ def category_counts(df: DataFrame, columns: Sequence[str], as_type: str = "strin
     )
 
 
-def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int) -> dict[str, tuple[str | None, list[str]]]:
+def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> dict[str, tuple[str | None, list[str]]]:
     """Mode and categories per column.
 
-    The model holds the category lists, so their size is checked before they are read.
+    The model holds the category lists; with ``max_categories`` their size is checked before they are read.
     """
     if not columns:
         return {}
@@ -110,7 +118,7 @@ def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int) -
     stats = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("d"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect()
     for r in stats:
-        if r["d"] > max_categories:
+        if max_categories is not None and r["d"] > max_categories:
             counts.unpersist()
             raise ValueError(f"column {r['column']!r} has {r['d']} categories, more than max_categories={max_categories}")
     found: dict[str, tuple[str | None, list[str]]] = {c: (None, []) for c in columns}

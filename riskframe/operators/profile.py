@@ -15,7 +15,6 @@ from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.quality import missing_counts
 
 QUARTILES = (0.25, 0.5, 0.75)
-MAX_PLOTTED_COLUMNS = 20
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -110,7 +109,7 @@ def linear_edges(low: float, high: float, bins: int) -> list[float]:
 
 
 def histogram(
-    df: DataFrame, columns: Sequence[str], bins: int = 30, max_columns: int | None = MAX_PLOTTED_COLUMNS,
+    df: DataFrame, columns: Sequence[str], bins: int = 30, max_columns: int | None = None,
 ) -> DataFrame:
     """(column, bin, lower, upper, n) for equal-width bins over each column's range.
 

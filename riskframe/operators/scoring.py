@@ -19,7 +19,7 @@ def score(df: DataFrame, bundle: Bundle, keys: Sequence[str],
           risk_labels: tuple[str, str] = RISK_LABELS) -> DataFrame:
     """(keys, probability, prediction, risk_label, threshold, model_version)."""
     bundle.schema.validate(df, known=keys)
-    scored = bundle.predict(df.select(*{*keys, *bundle.schema.names}))
+    scored = bundle.predict(df.select(*{*keys, *bundle.schema.names}), known=keys)
     low, high = risk_labels
     return scored.select(
         *[F.col(quoted(k)) for k in keys],

@@ -22,10 +22,12 @@ from riskframe.functions.columns import order_hash, quoted
 
 logger = logging.getLogger(__name__)
 
-# Up to this many rows the cut rows are ranked directly; beyond it a histogram
-# over 16-bit hash prefixes tells which few rows have to be ranked.
-DIRECT_RANK_ROWS = 1_000_000
+# Hash digits that one histogram round adds, and the rows of a cut's bucket that are ranked;
+# a fuller bucket gets another round.
 PREFIX_DIGITS = 4
+RANKED_ROWS = 1_000_000
+HASH_DIGITS = 32
+# Classes that a split keeps balanced, unless told otherwise.
 MAX_STRATA = 20
 
 
@@ -63,61 +65,81 @@ def _stratum(label: str | None) -> Column:
     return F.col(quoted(label)) if label else F.lit(0)
 
 
+def _starts(prefix: str) -> Column:
+    return F.startswith(F.col("hash"), F.lit(prefix))
+
+
+def _in_bucket(stratum: Any, prefix: str) -> Column:
+    return F.col("stratum").eqNullSafe(F.lit(stratum)) & _starts(prefix)
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    found = F.lit(False)
+    for condition in conditions:
+        found = found | condition
+    return found
+
+
+def refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raises if two rows share a key, wherever they lie."""
+    counts = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    if not counts.where("__n > 1").isEmpty():
+        raise AmbiguousKeyError(f"the key {list(keys)} repeats; it must identify rows")
+
+
 def _cut_rows(
     df: DataFrame, label: str | None, keys: Sequence[str], seed: int,
-    counts: dict[Any, int], ranks: dict[Any, list[int]], direct_rows: int,
+    ranks: dict[Any, list[int]], ranked_rows: int,
 ) -> dict[tuple[Any, int], tuple]:
-    """The order values of the rows at the given 1-based ranks of each class."""
-    digits = 0 if sum(counts.values()) <= direct_rows else PREFIX_DIGITS
+    """The order values of the rows at the given 1-based ranks of each class.
+
+    A histogram over hash prefixes finds the bucket of each cut. Prefixes grow until the
+    bucket holds few enough rows to be ranked, so no task ranks more than that.
+    """
     base = df.select(
         _stratum(label).alias("stratum"), order_hash(keys, seed).alias("hash"),
-        F.struct(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"),
-    ).withColumn("prefix", F.substring("hash", 1, digits) if digits else F.lit(""))
-
-    offsets: dict[tuple[Any, int], tuple[str, int]] = {}
-    if digits:
-        # At most 16^4 rows per class.
-        per_prefix = base.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("prefix"))
-        per_prefix = per_prefix.withColumn("upto", upto)
-        hit = F.lit(False)
-        for c, wanted in ranks.items():
-            for r in wanted:
-                hit = hit | (F.col("stratum").eqNullSafe(F.lit(c)) & (F.col("upto") >= r)
-                             & (F.col("upto") - F.col("n") < r))
-        for row in per_prefix.where(hit).collect():
-            for r in ranks[row["stratum"]]:
-                if row["upto"] - row["n"] < r <= row["upto"]:
-                    offsets[row["stratum"], r] = (row["prefix"], r - (row["upto"] - row["n"]))
-    else:
-        offsets = {(c, r): ("", r) for c, wanted in ranks.items() for r in wanted}
-
-    around = F.lit(False)
-    for c, prefix in {(c, p) for (c, _), (p, _) in offsets.items()}:
-        around = around | (F.col("stratum").eqNullSafe(F.lit(c)) & (F.col("prefix") == prefix))
+        F.struct(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"))
+    place = {(c, r): ("", r) for c, wanted in ranks.items() for r in wanted}
+    digits, full = 0, {(c, "") for c, _ in place}
+    while full and digits < HASH_DIGITS:
+        # At most 16^4 rows per bucket that is split.
+        inside = base.where(_any([_in_bucket(c, p) for c, p in full])) if digits else base
+        parent, digits = F.substring("hash", 1, digits), digits + PREFIX_DIGITS
+        histogram = inside.groupBy("stratum", parent.alias("parent"), F.substring("hash", 1, digits).alias("prefix"))
+        histogram = histogram.agg(F.count(F.lit(1)).alias("n")).withColumn(
+            "upto", F.sum("n").over(Window.partitionBy("stratum", "parent").orderBy("prefix")))
+        cuts = {key: at for key, at in place.items() if (key[0], at[0]) in full}
+        hits = histogram.where(_any([
+            F.col("stratum").eqNullSafe(F.lit(c)) & (F.col("parent") == p) & (F.col("upto") >= r)
+            & (F.col("upto") - F.col("n") < r) for (c, _), (p, r) in cuts.items()]))
+        full = set()
+        for row in hits.collect():
+            for key, (p, r) in cuts.items():
+                before = row["upto"] - row["n"]
+                if (key[0], p) == (row["stratum"], row["parent"]) and before < r <= row["upto"]:
+                    place[key] = (row["prefix"], r - before)
+                    if row["n"] > ranked_rows:
+                        full.add((row["stratum"], row["prefix"]))
+
+    prefix = F.lit(None).cast("string")
+    for c, p in {(c, p) for (c, _), (p, _) in place.items()}:
+        prefix = F.when(_in_bucket(c, p), F.lit(p)).otherwise(prefix)
     order = Window.partitionBy("stratum", "prefix").orderBy("hash", "key")
-    ranked = base.where(around).select(
-        "stratum", "prefix", "hash", "key", F.row_number().over(order).alias("rank"),
-        F.lead(F.struct("hash", "key")).over(order).alias("following"))
-    wanted = F.lit(False)
-    for (c, _), (prefix, inner) in offsets.items():
-        wanted = wanted | (F.col("stratum").eqNullSafe(F.lit(c)) & (F.col("prefix") == prefix)
-                           & (F.col("rank") == inner))
+    ranked = base.withColumn("prefix", prefix).where("prefix is not null").select(
+        "stratum", "prefix", "hash", "key", F.row_number().over(order).alias("rank"))
+    wanted = _any([F.col("stratum").eqNullSafe(F.lit(c)) & (F.col("prefix") == p) & (F.col("rank") == inner)
+                   for (c, _), (p, inner) in place.items()])
     found = {}
     for row in ranked.where(wanted).collect():
-        here = (row["hash"], tuple(row["key"]))
-        after = row["following"]
-        if after is not None and here == (after["hash"], tuple(after["key"])):
-            raise AmbiguousKeyError(f"the key {list(keys)} repeats at a cut; it must identify rows")
-        for (c, r), (prefix, inner) in offsets.items():
-            if (c, prefix, inner) == (row["stratum"], row["prefix"], row["rank"]):
-                found[c, r] = here
+        for (c, r), (p, inner) in place.items():
+            if (c, p, inner) == (row["stratum"], row["prefix"], row["rank"]):
+                found[c, r] = (row["hash"], tuple(row["key"]))
     return found
 
 
 def range_index(
     df: DataFrame, label: str | None, keys: Sequence[str], seed: int,
-    counts: dict[Any, int], sizes: dict[Any, list[int]], direct_rows: int = DIRECT_RANK_ROWS,
+    counts: dict[Any, int], sizes: dict[Any, list[int]], ranked_rows: int = RANKED_ROWS,
 ) -> Column:
     """Index of the range a row falls in when each class is cut into ``sizes`` along the order.
 
@@ -125,6 +147,7 @@ def range_index(
     """
     if not keys:
         raise AmbiguousKeyError("a row key is needed")
+    refuse_repeated_keys(df, keys)
     bounds = {}
     for c, parts in sizes.items():
         ends, total = [], 0
@@ -135,7 +158,7 @@ def range_index(
     ranks = {c: sorted({e for e in ends if 0 < e < counts[c]}) for c, ends in bounds.items()}
     cuts = {}
     if any(ranks.values()):
-        cuts = _cut_rows(df, label, keys, seed, counts, ranks, direct_rows)
+        cuts = _cut_rows(df, label, keys, seed, ranks, ranked_rows)
 
     here = order_hash(keys, seed)
     key = F.struct(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)])
@@ -167,24 +190,26 @@ def assign_parts(
     validation_size: float = 0.0,
     seed: int = 42,
     stratify: bool = True,
-    direct_rows: int = DIRECT_RANK_ROWS,
+    ranked_rows: int = RANKED_ROWS,
+    max_strata: int = MAX_STRATA,
 ) -> DataFrame:
     """Adds ``part``: test, validation (if asked for) or train.
 
     The test part has ceil(test_size x n) rows. With strata, class sizes follow
-    the largest remainder of the rows that stay.
+    the largest remainder of the rows that stay. A target of more than ``max_strata``
+    values is not stratified.
     """
     strata: str | None = None
     counts: dict[Any, int] = {}
     if stratify:
         # A few more classes than allowed are enough to see that there are too many.
-        counts = class_counts(df, label, limit=MAX_STRATA + 2)
+        counts = class_counts(df, label, limit=max_strata + 2)
         distinct = len([c for c in counts if c is not None])
-        if 1 < distinct <= MAX_STRATA:
+        if 1 < distinct <= max_strata:
             strata = label
         else:
             logger.warning("the target has %s unique values; the split is not stratified",
-                           distinct if distinct <= MAX_STRATA else f"more than {MAX_STRATA}")
+                           distinct if distinct <= max_strata else f"more than {max_strata}")
     if strata is None:
         counts = {0: df.count()}
 
@@ -200,7 +225,7 @@ def assign_parts(
         left = stay
     for c in counts:
         sizes[c].append(left[c])
-    index = range_index(df, strata, keys, seed, counts, sizes, direct_rows)
+    index = range_index(df, strata, keys, seed, counts, sizes, ranked_rows)
     labels = F.array(*[F.lit(n) for n in [*names, "train"]])
     return df.withColumn("part", F.element_at(labels, index + 1))
 
@@ -221,25 +246,30 @@ def fold_sizes(counts: dict[Any, int], k: int) -> dict[Any, list[int]]:
 
 
 def assign_folds(df: DataFrame, label: str, keys: Sequence[str], k: int = 5, seed: int = 42,
-                 direct_rows: int = DIRECT_RANK_ROWS) -> DataFrame:
-    """Adds ``fold`` in 0..k-1, with every class spread evenly over the folds."""
-    counts = class_counts(df, label)
+                 ranked_rows: int = RANKED_ROWS, max_classes: int = MAX_STRATA) -> DataFrame:
+    """Adds ``fold`` in 0..k-1, with every class spread evenly over the folds.
+
+    A label of more than ``max_classes`` values is refused: it is no class label.
+    """
+    counts = class_counts(df, label, limit=max_classes + 2)
+    if len([c for c in counts if c is not None]) > max_classes:
+        raise ValueError(f"the column {label!r} has more than {max_classes} classes")
     smallest = min(counts.values(), default=0)
     if max(counts.values(), default=0) < k:
         raise ValueError(f"{k} folds need at least {k} rows in some class")
     if smallest < k:
         logger.warning("the smallest class has %s rows for %s folds", smallest, k)
-    index = range_index(df, label, keys, seed, counts, fold_sizes(counts, k), direct_rows)
+    index = range_index(df, label, keys, seed, counts, fold_sizes(counts, k), ranked_rows)
     return df.withColumn("fold", index)
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42,
-                direct_rows: int = DIRECT_RANK_ROWS) -> DataFrame:
+                ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), the same for the same key and seed."""
     total = df.count()
     if total <= n:
         return df
-    index = range_index(df, None, keys, seed, {0: total}, {0: [n, total - n]}, direct_rows)
+    index = range_index(df, None, keys, seed, {0: total}, {0: [n, total - n]}, ranked_rows)
     return df.where(index == 0)
 
 

@@ -27,7 +27,7 @@ def sweep(df: DataFrame, label: str = "label", proba: str = "p",
     A row lands in the bucket that counts the thresholds it reaches; summing the
     buckets from above gives the positives at each threshold.
     """
-    grid = sorted(set(float(t) for t in thresholds))
+    grid = sorted({check_threshold(float(t)) for t in thresholds})
     spark = df.sparkSession
     splits = [float("-inf"), *grid, float("inf")]
     base = df.select(checked_label(label).alias("y"), checked_score(proba).alias("score"))

@@ -10,7 +10,6 @@ import random
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.ml.functions import vector_to_array
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from riskframe.config import TuningConfig
 from riskframe.functions.local import local_table
 from riskframe.operators.metrics import METRICS, classification_metrics
-from riskframe.operators.models import LABEL, SCORE, FittedModel, ModelPlan, in_threads
+from riskframe.operators.models import LABEL, SCORE, FittedModel, ModelPlan, in_threads, score_folds
 from riskframe.operators.prep import FEATURES
 from riskframe.operators.split import assign_folds
 from riskframe.sources.sinks import write_json, write_table
@@ -56,7 +55,7 @@ class TuningResult:
     best_plan: ModelPlan
     scoring: str
     seconds: float
-    train_val_gap: float
+    train_val_gap: float | None
     oof: DataFrame
 
     def document(self) -> dict[str, Any]:
@@ -68,9 +67,10 @@ def random_search(plan: ModelPlan, train: DataFrame, keys: Sequence[str],
                   config: TuningConfig | None = None) -> TuningResult:
     """Validates random candidates on shared folds and refits the best one on all rows.
 
-    Preprocessing does not depend on the candidate, so it is fitted once per fold
-    and the transformed rows of a fold are kept for all candidates. The scores of
-    every candidate, fold and role are evaluated together.
+    Preprocessing does not depend on the candidate, so it is fitted once per fold. Folds
+    are worked through one after the other: the transformed rows of one fold are held,
+    each candidate is fitted, scored and reduced to its metrics at once, then the fold is
+    released. The out-of-fold scores are those of the winner's own models.
     """
     config = config or TuningConfig()
     if config.scoring not in METRICS:
@@ -79,38 +79,39 @@ def random_search(plan: ModelPlan, train: DataFrame, keys: Sequence[str],
     k = config.n_splits
     candidates = draw_candidates(config.param_distributions, config.n_iter, config.random_state)
     folded = assign_folds(train, LABEL, keys, k, config.random_state).persist()
-    preps = in_threads(
-        [lambda f=f: plan.preprocessor().fit_rows(folded.where(F.col("fold") != f)) for f in range(k)],
-        config.parallelism)
-    frames = [
-        preps[f].transform(folded).select(*keys, F.col(LABEL).cast("double").alias(LABEL), "fold", FEATURES).persist()
-        for f in range(k)
-    ]
-
-    def fit(c: int, f: int) -> DataFrame:
-        model = plan.with_params(**candidates[c]).fit_classifier(preps[f], frames[f].where(F.col("fold") != f))
-        scored = model.classifier.transform(frames[f])
-        return scored.select(
-            *keys, LABEL, F.lit(c).alias("candidate"), F.lit(f).alias("split"),
-            F.when(F.col("fold") == f, "test").otherwise("train").alias("role"),
-            vector_to_array("probability")[1].alias(SCORE))
-
-    jobs = [(c, f) for c in range(len(candidates)) for f in range(k)]
-    scored = in_threads([lambda c=c, f=f: fit(c, f) for c, f in jobs], config.parallelism)
-    everything = reduce(DataFrame.unionByName, scored)
-    metrics = classification_metrics(everything, LABEL, SCORE, group_cols=["candidate", "split", "role"])
-    results = _results(metrics, candidates, config.scoring).persist()
+    fitted: dict[tuple[int, int], FittedModel] = {}
+    measured: list[tuple] = []
+    for f in range(k):
+        prep = plan.preprocessor().fit_rows(folded.where(F.col("fold") != f))
+        frame = prep.transform(folded).select(F.col(LABEL).cast("double").alias(LABEL), "fold", FEATURES).persist()
+
+        def validate(c: int, f: int = f, prep=prep, frame: DataFrame = frame) -> list[tuple]:
+            model = plan.with_params(**candidates[c]).fit_classifier(prep, frame.where(F.col("fold") != f))
+            fitted[c, f] = model
+            role = F.when(F.col("fold") == f, "test").otherwise("train")
+            scored = model.classifier.transform(frame).select(
+                LABEL, role.alias("role"), vector_to_array("probability")[1].alias(SCORE))
+            rows = classification_metrics(scored, LABEL, SCORE, group_cols=["role"]).collect()
+            return [(c, f, r["role"], r[config.scoring]) for r in rows]
+
+        for rows in in_threads([lambda c=c: validate(c) for c in range(len(candidates))], config.parallelism):
+            measured += rows
+        frame.unpersist()
+    # One number per candidate, fold and role.
+    metrics = local_table(train.sparkSession, measured,
+                          f"candidate int, split int, role string, {config.scoring} double")
+    results = _results(metrics, candidates, config.scoring)
 
     best = results.orderBy("rank", "candidate").first()
     winner = plan.with_params(**candidates[best["candidate"]])
-    oof = reduce(DataFrame.unionByName, [
-        scored[i].where("role = 'test'") for i, (c, _) in enumerate(jobs) if c == best["candidate"]
-    ]).select(*keys, LABEL, SCORE)
+    oof = score_folds([fitted[best["candidate"], f] for f in range(k)], folded).select(*keys, LABEL, SCORE)
     model = winner.fit_kept(folded)
-    gap = (best["mean_train_score"] or 0.0) - (best["mean_test_score"] or 0.0)
-    if config.scoring in LOSSES:
-        gap = -gap
-    if gap > config.train_val_gap_warning_threshold:
+    folded.unpersist()
+    gap = None
+    if best["mean_train_score"] is not None and best["mean_test_score"] is not None:
+        gap = best["mean_train_score"] - best["mean_test_score"]
+        gap = -gap if config.scoring in LOSSES else gap
+    if gap is not None and gap > config.train_val_gap_warning_threshold:
         logger.warning("the best candidate scores %.4f better on its training rows: possible overfitting", gap)
     return TuningResult(
         candidates[best["candidate"]], best["mean_test_score"], results, model, winner,

@@ -64,7 +64,7 @@ def run(spark: SparkSession, config: Config, version: str | None = None) -> Mode
         if settings.validation_strategy == "holdout" or config.tuning.n_splits != config.cv.n_splits \
                 or config.tuning.random_state != config.cv.random_state:
             scores = validation_scores(tuned.best_plan, train, keys, config.cv, settings.validation_strategy,
-                                       settings.holdout_size)
+                                       settings.holdout_size, config.split.random_state)
         # With the same folds and seed the search has scored these rows already.
         sweep, chosen = choose(scores, settings.strategy, LABEL, SCORE, settings.grid(), **settings.arguments())
         save_threshold(chosen, sweep, artifacts.threshold_dir(version),

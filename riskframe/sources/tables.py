@@ -20,6 +20,10 @@ MISSING_TOKENS = (
 
 OVERFLOW = "__overflow"
 
+# A plain number: Java's own suffixes (12d, 7f) and hexadecimal forms are text.
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
 
 def load_table(
     spark: SparkSession,
@@ -78,10 +82,11 @@ def _infer_types(raw, names, fields, path) -> T.StructType:
     aggregates = [F.count_if(F.col(OVERFLOW).isNotNull()).alias("overflow")]
     for i, n in enumerate(names):
         value = fields[n]
+        number = F.when(value.rlike(NUMBER) | value.rlike(INFINITE), value)
         aggregates += [
             F.count(value).alias(f"n{i}"),
-            F.count(value.try_cast("bigint")).alias(f"l{i}"),
-            F.count(value.try_cast("double")).alias(f"d{i}"),
+            F.count(number.try_cast("bigint")).alias(f"l{i}"),
+            F.count(number.try_cast("double")).alias(f"d{i}"),
             F.count_if(F.lower(value).isin("true", "false")).alias(f"b{i}"),
         ]
     row = raw.agg(*aggregates).first()

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from riskframe.config import PreprocessingConfig
 from riskframe.errors import SchemaValidationError
@@ -114,3 +115,10 @@ def test_save_and_load(small, tmp_path):
     loaded = prep.FittedPreprocessor.load(str(tmp_path / "prep"))
     assert loaded.slots == fitted.slots and loaded.schema == fitted.schema
     assert np.array_equal(matrix(loaded, small), matrix(fitted, small))
+
+
+def test_constant_columns_scale_to_zero(spark):
+    rows = spark.range(50_000).select((F.lit(1e6) / 3).alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+    got = prep.scale_statistics(rows, ["x", "y"], {"x": 0.0, "y": 0.0})
+    assert got["x"] == (1e6 / 3, 1.0)
+    assert got["y"] == pytest.approx((0.5, 0.5))

@@ -34,7 +34,7 @@ def test_exact_sizes_and_balance(rows):
 def test_independent_of_partitioning_and_ranking_route(rows):
     base = parts(rows, validation_size=0.15)
     assert base == parts(rows.repartition(7, "x"), validation_size=0.15)
-    assert base == parts(rows, validation_size=0.15, direct_rows=10)
+    assert base == parts(rows, validation_size=0.15, ranked_rows=10)
     assert base != parts(rows, validation_size=0.15, seed=7)
     assert Counter(base.values())["validation"] == math.ceil(0.15 * 403)
 
@@ -50,11 +50,20 @@ def test_key_that_repeats_is_refused(spark):
         split.assign_parts(same, "label", ["k"]).count()
     with pytest.raises(AmbiguousKeyError):
         split.assign_parts(same, "label", [])
+    # Pairs far from any cut are found too.
+    twice = spark.range(1000).select((F.col("id") % 500).alias("k"), (F.col("id") % 2).alias("label"))
+    with pytest.raises(AmbiguousKeyError):
+        split.assign_parts(twice, "label", ["k"])
+
+
+def test_folds_refuse_a_label_of_many_values(rows):
+    with pytest.raises(ValueError, match="classes"):
+        split.assign_folds(rows.withColumn("label", F.col("k")), "label", ["k"])
 
 
-@pytest.mark.parametrize("direct_rows", [5, 1_000_000])
-def test_folds(rows, direct_rows):
-    got = split.assign_folds(rows, "label", ["k"], 5, direct_rows=direct_rows).collect()
+@pytest.mark.parametrize("ranked_rows", [5, 1_000_000])
+def test_folds(rows, ranked_rows):
+    got = split.assign_folds(rows, "label", ["k"], 5, ranked_rows=ranked_rows).collect()
     sizes = Counter(r["fold"] for r in got)
     assert sorted(sizes) == [0, 1, 2, 3, 4] and max(sizes.values()) - min(sizes.values()) <= 1
     for c in (0, 1):
@@ -64,7 +73,7 @@ def test_folds(rows, direct_rows):
 
 def test_sample_is_exact(rows):
     a = split.sample_rows(rows, 50, ["k"])
-    b = split.sample_rows(rows.repartition(3), 50, ["k"], direct_rows=10)
+    b = split.sample_rows(rows.repartition(3), 50, ["k"], ranked_rows=10)
     assert sorted(r["k"] for r in a.collect()) == sorted(r["k"] for r in b.collect())
     assert a.count() == 50
     assert split.sample_rows(rows, 1000, ["k"]).count() == 403

@@ -66,3 +66,10 @@ def test_nan_becomes_null(spark, tmp_path):
 def test_json_document(spark, tmp_path):
     write_json(spark, {"a": [1, 2], "b": None}, str(tmp_path / "doc"))
     assert read_json(spark, str(tmp_path / "doc")) == {"a": [1, 2], "b": None}
+
+
+def test_number_suffixes_stay_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c\n12d,1e3,0x1F\n7f,-.5,3\n1D,+2.,4\n")
+    df = load_table(spark, str(tmp_path / "t.csv"))
+    assert dict(df.dtypes) == {"a": "string", "b": "double", "c": "string"}
+    assert [r["a"] for r in df.collect()] == ["12d", "7f", "1D"]
