@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
@@ -12,8 +14,8 @@ from riskframe.llm.common import mix
 
 #: Code points of a k-mer, k-mers of a tuple, tuples of a fingerprint.
 K, PICKS, TUPLES = 8, 2, 48
-#: Documents that share a sorted bucket when neighbours are looked up, about.
-BUCKET_ROWS = 4000
+#: Ranges of ids for each shuffle partition when neighbours are looked up.
+RANGES = 8
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 1 << 18
@@ -89,31 +91,30 @@ def likeness(one: str, other: str) -> float:
     return float((a == b).mean()) if len(a) else 1.0
 
 
-def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, picks: int = PICKS,
-    tuples: int = TUPLES,
-) -> DataFrame:
-    """``doc_id, text, fingerprint`` for each row, computed where it is read; other columns are ignored."""
+def fingerprints(docs: DataFrame, text_col: str = "text", k: int = K, picks: int = PICKS,
+                 tuples: int = TUPLES) -> DataFrame:
+    """``docs`` with the ``fingerprint`` of each whole text, computed where it is read."""
     @F.pandas_udf("string")
     def fingerprint(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: order_minhash(text, k, picks, tuples))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn(
-        "fingerprint", fingerprint("text"))
+    return docs.withColumn("fingerprint", fingerprint(F.col(text_col)))
 
 
-def with_next(df: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
+def with_next(
+    df: DataFrame, columns: list[str], key: str = "doc_id", prepared: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Adds ``next_<column>`` of the row that follows by descending ``key``; after the last comes the first.
 
-    Keys are cut into ranges of about ``BUCKET_ROWS`` rows by approximate quantiles. Each
-    range is sorted by itself, with a copy of the first row of the following range at its
-    end, so no task sees more than a range. Equal keys follow each other by text; a
-    null key comes last. The bounds and one first key per range reach the driver.
+    Keys are cut into like ranges, ``RANGES`` for each shuffle partition, by approximate
+    quantiles. Each range is sorted by itself, with a copy of the first row of the
+    following range at its end, so no task sees more than some ranges. Equal keys follow
+    each other by ``columns``; a null key comes last. The bounds and one first key per
+    range reach the driver. ``prepared`` adds columns to rows and copies before they move.
     """
     order = F.coalesce(F.col(key), F.lit(-(2**63)))
     keys = df.select(order.alias("__key"))
-    size = keys.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    ranges = max(2, -(-size // BUCKET_ROWS))
+    ranges = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / ranges for i in range(1, ranges)]
     bounds = keys.agg(F.percentile_approx("__key", probs, max(10_000, 10 * ranges)).alias("b")).first()["b"] or [0]
     splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
@@ -132,7 +133,8 @@ def with_next(df: DataFrame, columns: list[str], key: str = "doc_id") -> DataFra
         copies = df.withColumn("__key", order).join(small, F.col("__key") == F.col("__first"))
         copies = copies.withColumns({"__range": F.col("__to"), "__copy": F.lit(1)}).select(rows.columns)
         rows = rows.union(copies)
-    # Ranges meet by chance in a partition; the number of partitions follows the data.
+    if prepared:
+        rows = prepared(rows)
     window = Window.partitionBy("__range").orderBy("__copy", F.desc("__key"), *[F.asc(c) for c in columns])
     rows = rows.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
     return rows.where("__copy = 0").drop("__key", "__range", "__copy")
@@ -147,7 +149,7 @@ def edit_likeness(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     are documents of their own, an empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_next(fingerprints(texts), ["text", "fingerprint"])
+    rows = with_next(texts, ["text", "fingerprint"], prepared=fingerprints)
     size = F.length("text").cast("long")
     third = F.floor(size / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.length("text") - third)),
