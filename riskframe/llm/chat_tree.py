@@ -66,18 +66,22 @@ def conversation_paths(conversations: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list("t")).alias("turns"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["conv_id", "depth", "last", "node", "path", "role", "text"]
         for batch in batches:
-            for conv_id, roles, texts in zip(batch["conv_id"], batch["roles"], batch["texts"], strict=True):
-                rows, node, path = [], b"", b""
+            rows = []
+            for conv_id, roles, texts in zip(batch["conv_id"].tolist(), batch["roles"], batch["texts"], strict=True):
+                key = None if pd.isna(conv_id) else int(conv_id)
+                node, path = b"", b""
                 for depth, (role, text) in enumerate(zip(roles, texts, strict=True)):
                     data = [part.encode("utf-8", "surrogatepass") for part in (role, text)]
                     node = hashlib.blake2b(node + len(data[0]).to_bytes(8, "big") + b"".join(data),
                                            digest_size=16).digest()
                     path += node[:8]
-                    rows.append((None if pd.isna(conv_id) else int(conv_id), depth, depth == len(roles) - 1,
-                                 node, path, role, text))
-                out = pd.DataFrame(rows, columns=["conv_id", "depth", "last", "node", "path", "role", "text"])
-                yield out.astype({"conv_id": "Int64"})
+                    rows.append((key, depth, depth == len(roles) - 1, node, path, role, text))
+                if len(rows) > 5000:
+                    yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
+                    rows = []
+            yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
 
     source = whole.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turns.role").alias("roles"),
                           F.col("turns.text").alias("texts"))
