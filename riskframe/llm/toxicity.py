@@ -132,23 +132,26 @@ def label_model(fired: np.ndarray, labels: np.ndarray) -> np.ndarray:
     more than the latent label explains are correlated: each counts one over one plus its
     positive residual correlations with the others.
     """
-    votes = np.column_stack([fired, labels]).astype(np.float64)
+    votes = np.column_stack([fired, labels.astype(np.float32)])
+    together = (votes.T @ votes).astype(np.float64)
     posterior = np.where(labels == 1, 0.95, 0.05)
     for _ in range(_ROUNDS):
         share = np.clip(posterior.mean(), 1e-4, 1 - 1e-4)
-        on_toxic = (posterior @ votes + 0.1) / (posterior.sum() + 1)
-        on_clean = ((1 - posterior) @ votes + 0.1) / ((1 - posterior).sum() + 10)
+        on_toxic = ((posterior.astype(np.float32) @ votes).astype(np.float64) + 0.1) / (posterior.sum() + 1)
+        on_clean = (((1 - posterior).astype(np.float32) @ votes).astype(np.float64) + 0.1) / ((1 - posterior).sum() + 10)
         on_toxic, on_clean = np.clip(on_toxic, 1e-6, 1 - 1e-6), np.clip(on_clean, 1e-6, 1 - 1e-6)
-        expected = np.outer(posterior, on_toxic) + np.outer(1 - posterior, on_clean)
-        rest = votes - expected
-        cover = rest.T @ rest / len(votes)
+        # Covariance of what the latent label leaves unexplained, without a second table of its size.
+        soft = np.stack([posterior, 1 - posterior])
+        rates = np.stack([on_toxic, on_clean])
+        crossed = (soft.astype(np.float32) @ votes).T @ rates
+        cover = (together - crossed - crossed.T + rates.T @ (soft @ soft.T) @ rates) / len(votes)
         scale = np.sqrt(np.clip(np.diag(cover), 1e-12, None))
         correlation = np.clip(cover / np.outer(scale, scale), 0, 1)
         np.fill_diagonal(correlation, 0)
         discount = 1 / (1 + correlation.sum(axis=1))
         gain = discount * (np.log(on_toxic / on_clean) - np.log((1 - on_toxic) / (1 - on_clean)))
         base = np.log(share / (1 - share)) + (discount * np.log((1 - on_toxic) / (1 - on_clean))).sum()
-        updated = _sigmoid(votes @ gain + base)
+        updated = _sigmoid((votes @ gain.astype(np.float32)).astype(np.float64) + base)
         moved = np.abs(updated - posterior).max()
         posterior = updated
         if moved < 1e-4:
@@ -158,16 +161,19 @@ def label_model(fired: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 def linear_classifier(fired: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression of soft labels on the votes, by Newton steps with a ridge; the bias is free."""
-    x = np.column_stack([fired, np.ones(len(fired))]).astype(np.float64)
+    x = np.column_stack([fired, np.ones(len(fired), dtype=np.float32)])
     ridge = np.full(x.shape[1], _RIDGE)
     ridge[-1] = 1e-6
     weights = np.zeros(x.shape[1])
     for _ in range(25):
-        p = _sigmoid(x @ weights)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9),
-                               x.T @ (p - target) + ridge * weights)
+        p = _sigmoid((x @ weights.astype(np.float32)).astype(np.float64))
+        heavy = (p * (1 - p)).astype(np.float32)
+        # Rows of a block at a time, so the weighted copy stays small.
+        curve = sum((x[i:i + 2000] * heavy[i:i + 2000, None]).T @ x[i:i + 2000] for i in range(0, len(x), 2000))
+        step = np.linalg.solve(curve.astype(np.float64) + np.diag(ridge + 1e-9),
+                               (x.T @ (p - target).astype(np.float32)).astype(np.float64) + ridge * weights)
         weights -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-5:
             break
     return weights[:-1], float(weights[-1])
 
