@@ -97,7 +97,8 @@ def _tokenized(nodes: DataFrame, tokenizer_path: str) -> DataFrame:
             texts = [format_turn(r, t) for r, t in zip(batch["role"].tolist(), batch["text"].tolist(), strict=True)]
             ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
             yield pd.DataFrame({
-                "node": batch["node"], "depth": batch["depth"], "path": batch["path"], "role": batch["role"],
+                "node": batch["node"].tolist(), "depth": batch["depth"].tolist(), "path": batch["path"].tolist(),
+                "role": batch["role"].tolist(),
                 "ids": [np.array(x, dtype="<u4").tobytes() for x in ids], "length": [len(x) for x in ids]})
 
     return nodes.mapInPandas(work, "node binary, depth int, path binary, role string, ids binary, length long")

@@ -96,7 +96,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", k: int = K, picks: int
     """``docs`` with the ``fingerprint`` of each whole text, computed where it is read."""
     @F.pandas_udf("string")
     def fingerprint(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: order_minhash(text, k, picks, tuples))
+        return pd.Series([order_minhash(text, k, picks, tuples) for text in texts.tolist()], dtype=object)
 
     return docs.withColumn("fingerprint", fingerprint(F.col(text_col)))
 

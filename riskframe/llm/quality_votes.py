@@ -150,7 +150,7 @@ def fit_quality(
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: zlib.compress(term_counts(text).tobytes(), 1))
+        return pd.Series([zlib.compress(term_counts(text).tobytes(), 1) for text in texts.tolist()], dtype=object)
 
     sample = labelled_sample(docs, labels, label_col, most_rows, where)
     rows = sample.select("doc_id", "label", packed("text").alias("c")).orderBy("doc_id", "label").collect()

@@ -186,7 +186,7 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None
     """``docs`` with the secrets in ``text_col`` masked; ``length_col`` then counts the new text's code points."""
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
-        return texts.map(mask_text, na_action="ignore")
+        return pd.Series([mask_text(text) for text in texts.tolist()], dtype=object)
 
     out = docs.withColumn(text_col, masked(F.col(text_col)))
     if length_col and length_col in docs.columns:

@@ -109,8 +109,9 @@ def learn_voters(sample: DataFrame) -> Voters:
             for text, label in zip(batch["text"].tolist(), batch["label"].tolist(), strict=True):
                 found[label == 1].update(patterns_of(_words(text)[1]))
         keys = list(found[0].keys() | found[1].keys())
-        yield pd.DataFrame({"pattern": keys, "clean": [found[0][k] for k in keys],
-                            "toxic": [found[1][k] for k in keys]})
+        if keys:
+            yield pd.DataFrame({"pattern": keys, "clean": [found[0][k] for k in keys],
+                                "toxic": [found[1][k] for k in keys]})
 
     totals = sample.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")).first()
     toxic, clean = totals["toxic"] or 0, totals["clean"] or 0
@@ -193,7 +194,7 @@ def fit_toxicity(
     @F.pandas_udf("array<int>")
     def votes(texts: pd.Series) -> pd.Series:
         index = voters.index()
-        return texts.map(lambda text: voters.votes(text, index))
+        return pd.Series([voters.votes(text, index) for text in texts.tolist()], dtype=object)
 
     rows = sample.select("doc_id", "label", votes("text").alias("fired")).orderBy("doc_id", "label").collect()
     size = len(voters.names)
