@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import settle
+
 #: (verdict, rule); a rule is a host with all its subdomains and a path prefix.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: A page is a bad outcome from this share of mark-up symbols in its visible text on.
@@ -72,12 +74,14 @@ def reputations(labelled: DataFrame) -> DataFrame:
 
     Each level's bad share is a beta-binomial whose prior mean is the posterior mean of
     the level above and whose prior weight comes from the moments of that level: hosts
-    shrink to registered domains, these to suffixes, these to the whole. ``low`` and
+    shrink to registered domains, these to suffixes, these to the whole. The counts of the
+    hosts are written once, so pages are read once for all levels. ``low`` and
     ``high`` lie ``DEVIATIONS`` posterior standard deviations from the mean. Only counts
     are shuffled, summed before the shuffle; three numbers reach the driver.
     """
     counts = with_levels(labelled.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k")))
+    counts = settle(labelled.sparkSession, counts, "hosts")
     whole = counts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     above = F.lit(((whole["k"] or 0) + 1) / ((whole["n"] or 0) + 2))
     upper = None
