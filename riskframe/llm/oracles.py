@@ -1,5 +1,146 @@
-"""SQL for the queries of the text operators that DuckDB can express."""
+"""SQL for the queries of the text operators that DuckDB can express.
+
+The other text queries learn a model, tokenize or lex; tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
 LLM_ORACLES: dict[str, str] = {}
+
+LLM_ORACLES["op3_host_reputation"] = r"""
+WITH parsed AS (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+judged AS (
+  SELECT page_id, html,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>|&[a-z]+;|\s+', '', 'g') AS visible
+  FROM parsed),
+outcomes AS (
+  SELECT host, CASE WHEN html IS NULL THEN NULL WHEN visible = '' THEN 0
+    WHEN (length(visible) - length(translate(visible, '%$#&*!|~^=', ''))) / length(visible) >= 0.05 THEN 1 ELSE 0
+    END AS bad FROM judged),
+levels AS (
+  SELECT *, regexp_matches(host, '^[0-9.]+(:\d+)?$|^\[') AS address,
+    string_split(regexp_replace(host, '^.*@|:\d*$', '', 'g'), '.') AS labels FROM outcomes),
+named AS (
+  SELECT host, CASE WHEN address THEN host ELSE array_to_string(labels[-2:], '.') END AS domain,
+    CASE WHEN address THEN '' ELSE labels[-1] END AS suffix, bad FROM levels),
+suffix_counts AS (
+  SELECT suffix, count(bad) AS n, coalesce(sum(bad), 0) AS k,
+    (SELECT (coalesce(sum(bad), 0) + 1) / (count(bad) + 2) FROM named) AS mu FROM named GROUP BY ALL),
+suffix_weight AS (
+  SELECT coalesce(1 / least(greatest((sum(n * pow(k / n - mu, 2)) - sum(greatest(mu * (1 - mu), 1e-9)))
+    / nullif(sum((n - 1) * greatest(mu * (1 - mu), 1e-9)), 0), 1e-4), 0.99) - 1, 10.0) AS w
+  FROM suffix_counts WHERE n > 0),
+domain_counts AS (
+  SELECT c.*, (s.k + w * s.mu) / (s.n + w) AS mu
+  FROM (SELECT suffix, domain, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM named GROUP BY ALL) c
+  JOIN suffix_counts s USING (suffix), suffix_weight),
+domain_weight AS (
+  SELECT coalesce(1 / least(greatest((sum(n * pow(k / n - mu, 2)) - sum(greatest(mu * (1 - mu), 1e-9)))
+    / nullif(sum((n - 1) * greatest(mu * (1 - mu), 1e-9)), 0), 1e-4), 0.99) - 1, 10.0) AS w
+  FROM domain_counts WHERE n > 0),
+host_counts AS (
+  SELECT c.*, (d.k + w * d.mu) / (d.n + w) AS mu
+  FROM (SELECT suffix, domain, host, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM named GROUP BY ALL) c
+  JOIN domain_counts d USING (suffix, domain), domain_weight),
+host_weight AS (
+  SELECT coalesce(1 / least(greatest((sum(n * pow(k / n - mu, 2)) - sum(greatest(mu * (1 - mu), 1e-9)))
+    / nullif(sum((n - 1) * greatest(mu * (1 - mu), 1e-9)), 0), 1e-4), 0.99) - 1, 10.0) AS w
+  FROM host_counts WHERE n > 0),
+posterior AS (
+  SELECT host, k + w * mu AS a, n - k + w * (1 - mu) AS b FROM host_counts, host_weight),
+reputation AS (
+  SELECT host, a / (a + b) AS mean,
+    greatest(a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 0.0) AS low FROM posterior),
+ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM judged)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN low > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+  round(mean, 6) AS bad_share, round(low, 6) AS bad_low
+FROM ruled LEFT JOIN reputation USING (host)
+"""
+
+LLM_ORACLES["op5_minhash_containment"] = r"""
+WITH item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
+  FROM benchmark),
+items AS (
+  SELECT item_id, least(len(words), 5) AS width, words FROM item_words WHERE len(words) > 0),
+item_shingles AS (
+  SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(words) - width + 2),
+    lambda i: array_to_string(words[i:i + width - 1], ' '))) AS shingle FROM items),
+doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
+  FROM documents),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2),
+    lambda i: array_to_string(words[i:i + width - 1], ' '))) AS shingle
+  FROM doc_words, (SELECT DISTINCT width FROM items)),
+sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY item_id),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS shared
+  FROM doc_shingles JOIN item_shingles USING (width, shingle) GROUP BY ALL)
+SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 5 * shared >= 4 * item_shingles
+"""
+
+LLM_ORACLES["op8_prefix_tree"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, '\\|\[INST\]|\[/INST\]|</?s>|<</?(ROLE|SYS)>>' AS control FROM turns),
+sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, control)) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+    ELSE 25 + length(role) + len(regexp_extract_all(role, control)) END AS chars FROM escaped),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(chars)::BIGINT AS formatted_chars
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted_chars FROM whole
+"""
+
+LLM_ORACLES["op10_lsh_forest"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) < 2 THEN words ELSE list_distinct(list_transform(range(1, len(words)),
+    lambda i: words[i] || ' ' || words[i + 1])) END AS shingles FROM words),
+keyed AS (SELECT doc_id, len(shingles) AS n, md5(array_to_string(list_sort(shingles), chr(10))) AS key, shingles FROM sets),
+nodes AS (
+  SELECT key, min(doc_id) AS node, any_value(n) AS n, any_value(shingles) AS shingles
+  FROM keyed WHERE n > 0 GROUP BY key),
+ranked AS (
+  SELECT node, n, shingle, row_number() OVER (PARTITION BY node ORDER BY df, shingle) AS place
+  FROM (SELECT node, n, shingle, count(*) OVER (PARTITION BY shingle) AS df
+        FROM (SELECT node, n, unnest(shingles) AS shingle FROM nodes))),
+rare AS (SELECT * FROM ranked WHERE 5 * place <= n + 5),
+candidates AS (
+  SELECT DISTINCT x.node AS a, y.node AS b, x.n AS n_a, y.n AS n_b FROM rare x JOIN rare y USING (shingle)
+  WHERE x.node < y.node AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)),
+links AS (
+  SELECT a, b FROM (
+    SELECT a, b, n_a, n_b, len(list_intersect(x.shingles, y.shingles)) AS common
+    FROM candidates JOIN nodes x ON x.node = a JOIN nodes y ON y.node = b)
+  WHERE 100 * common >= 80 * (n_a + n_b - common)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS node, a AS root FROM both_ways
+  UNION
+  SELECT b, root FROM reach JOIN both_ways ON a = node),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT doc_id, k.n AS n_shingles, coalesce(root, node, doc_id) AS component_id,
+  doc_id = coalesce(root, node, doc_id) AS kept
+FROM keyed k LEFT JOIN nodes USING (key) LEFT JOIN roots USING (node)
+"""

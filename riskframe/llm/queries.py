@@ -58,7 +58,8 @@ def op2_order_minhash(spark, d):
 @query
 def op3_host_reputation(spark, d):
     """A verdict on every page: by rule, else by the reputation of its host."""
-    return host_reputation.filter_urls(table(spark, d, "pages"))
+    found = host_reputation.filter_urls(table(spark, d, "pages"))
+    return found.withColumns({c: F.round(c, 6) for c in ("bad_share", "bad_low")})
 
 
 @query
