@@ -46,6 +46,9 @@ class DataConfig:
     id_columns: list[str] = field(default_factory=list)
     excluded_columns: list[str] = field(default_factory=list)
     valid_target_values: list[Any] | None = None
+    # With one of these the column types are not inferred; together they name every feature.
+    numerical_columns: list[str] | None = None
+    categorical_columns: list[str] | None = None
     missing_value_threshold: float = 0.4
     duplicate_check: bool = True
 

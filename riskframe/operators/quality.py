@@ -158,6 +158,7 @@ class QualityReport:
     target_distribution: DataFrame
     warnings: list[str]
     errors: list[str]
+    missing_above: float = REPORT_MISSING_ABOVE
 
     @property
     def has_errors(self) -> bool:
@@ -190,7 +191,7 @@ class QualityReport:
             rows.append(("duplicate_rows", None, str(self.duplicate_rows),
                          "warning" if self.duplicate_rows else "info"))
         for c, n in self.missing.items():
-            severity = "warning" if n / self.n_rows > REPORT_MISSING_ABOVE else "info"
+            severity = "warning" if n / self.n_rows > self.missing_above else "info"
             rows.append(("missing_count", c, str(n), severity))
         rows += [("numerical_column", c, None, "info") for c in self.numerical_columns]
         rows += [("categorical_column", c, None, "info") for c in self.categorical_columns]
@@ -208,6 +209,7 @@ def quality_report(
     target: str,
     allowed: Sequence[Any] | None = None,
     check_duplicates: bool = True,
+    missing_above: float = REPORT_MISSING_ABOVE,
 ) -> QualityReport:
     """All checks. Structural faults raise; quality issues are collected.
 
@@ -234,14 +236,14 @@ def quality_report(
         duplicates = duplicate_count(df).first()["duplicate_rows"]
         if duplicates:
             warnings.append(f"Found {duplicates} duplicate rows.")
-    mostly_missing = [c for c, n in missing.items() if n / n_rows > REPORT_MISSING_ABOVE]
+    mostly_missing = [c for c, n in missing.items() if n / n_rows > missing_above]
     if mostly_missing:
-        warnings.append(f"Columns with more than half of the values missing: {mostly_missing}")
+        warnings.append(f"Columns with a share of missing values above {missing_above:g}: {mostly_missing}")
     numerical, categorical = column_types(df.schema, exclude=[target])
     for text in warnings:
         logger.warning(text)
     return QualityReport(n_rows, len(df.columns), duplicates, missing, numerical, categorical,
-                         distribution, warnings, errors)
+                         distribution, warnings, errors, missing_above)
 
 
 @dataclass(frozen=True)

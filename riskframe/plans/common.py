@@ -22,7 +22,8 @@ def load_and_check(spark: SparkSession, config: Config, **options: str) -> tuple
     """The input table and its quality report."""
     data = config.data
     df = load_table(spark, data.data_path, data.data_format, **options)
-    report = quality_report(df, data.target_column, data.valid_target_values, data.duplicate_check)
+    report = quality_report(df, data.target_column, data.valid_target_values, data.duplicate_check,
+                            data.missing_value_threshold)
     return df, report
 
 
@@ -46,5 +47,6 @@ def prepare(df: DataFrame, config: Config) -> Prepared:
     rows = rows.withColumn(LABEL, F.col(LABEL).cast("double"))
     train, test = train_test_split(
         rows, LABEL, data.id_columns, config.split.test_size, config.split.random_state, config.split.stratify)
-    numerical, categorical = column_types(train.schema, exclude=[LABEL, *data.id_columns])
+    numerical, categorical = column_types(train.schema, [LABEL, *data.id_columns], data.numerical_columns,
+                                          data.categorical_columns)
     return Prepared(train, test, numerical, categorical)

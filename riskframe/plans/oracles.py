@@ -114,6 +114,14 @@ FROM (VALUES (0, 'l_orderkey', 'bigint', 'numerical'), (1, 'l_linenumber', 'int'
              (8, 'l_returnflag', 'string', 'categorical'), (9, 'l_linestatus', 'string', 'categorical'))
      AS c(position, name, dtype, kind)""")
 
+oracle("csv_typing", """
+SELECT 'whole' AS "column", 'bigint' AS dtype, count(*) AS filled, round(sum(l_orderkey)::DOUBLE, 2) AS total FROM lineitem
+UNION ALL SELECT 'decimal', 'double', count(*), round(sum(l_extendedprice), 2) FROM lineitem
+UNION ALL SELECT 'gaps', 'bigint', count(*), round(sum(l_linenumber)::DOUBLE, 2) FROM lineitem WHERE l_linenumber <> 1
+UNION ALL SELECT 'suffixed', 'string', count(*), NULL FROM lineitem
+UNION ALL SELECT 'flag', 'boolean', count(*), NULL FROM lineitem
+UNION ALL SELECT 'nothing', 'double', 0, NULL""")
+
 # Splits. The order is md5('<seed>|<key>') ascending inside a class. Test sizes
 # follow the largest remainder of the rows that stay.
 

@@ -18,7 +18,7 @@ from riskframe.operators import (
 from riskframe.operators.prep import FEATURES
 from riskframe.plans import package_job
 from riskframe.session import scratch_path
-from riskframe.sources import views
+from riskframe.sources import tables, views
 from riskframe.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,31 @@ def schema_typing(spark, d):
     return plain(profile.overview(lines).join(F.broadcast(kinds), "column"))
 
 
+@query
+def csv_typing(spark, d):
+    """Types and values found in line items that arrive as text, with missing tokens and suffixed numbers."""
+    lines = views.table(spark, d, "lineitem")
+    text = F.col("l_linenumber").cast("string")
+    strings = lines.select(
+        F.col("l_orderkey").cast("string").alias("whole"), F.col("l_extendedprice").cast("string").alias("decimal"),
+        F.when(F.col("l_linenumber") == 1, F.lit("NA")).otherwise(text).alias("gaps"),
+        F.concat(text, F.lit("d")).alias("suffixed"),
+        F.when(F.col("l_linenumber") > 1, F.lit("True")).otherwise(F.lit("false")).alias("flag"),
+        F.lit("n/a").alias("nothing"))
+    typed = tables.type_strings(strings)
+    kinds = local_table(spark, [(f.name, f.dataType.simpleString()) for f in typed.schema.fields],
+                        "column string, dtype string")
+    values = typed.select(*[F.struct(F.col(c).cast("string").alias("text"), F.col(c).try_cast("double").alias("number"))
+                            .alias(c) for c in typed.columns])
+    found = values.agg(*[F.struct(F.count(f"{c}.text").alias("filled"), F.round(F.sum(f"{c}.number"), 2).alias("total"))
+                         .alias(c) for c in typed.columns])
+    long = found.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"{c}.filled"),
+                 F.when(F.lit(typed.schema[c].dataType.simpleString() in ("bigint", "double")), F.col(f"{c}.total"))
+                 .alias("total")) for c in typed.columns])).alias("c")).select("c.*")
+    return long.join(kinds, "column")
+
+
 @query
 def unseen_categories(spark, d):
     documents = views.table(spark, d, "documents")

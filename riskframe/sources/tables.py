@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,18 +68,33 @@ def _load_csv(spark, path, schema, missing_tokens, options) -> DataFrame:
     # are filled with NULL.
     text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])
     raw = spark.read.options(**options).schema(text).csv(path)
-    fields = {n: F.when(~F.col(quoted(n)).isin(*missing_tokens), F.col(quoted(n))) for n in names}
+    fields = _without_tokens(names, missing_tokens)
 
     if schema is None:
-        schema = _infer_types(raw, names, fields, path)
+        row = raw.agg(F.count_if(F.col(OVERFLOW).isNotNull()).alias("overflow"), *_fits(names, fields)).first()
+        if row["overflow"]:
+            raise DataLoadError(f"{row['overflow']} rows of {path} have more than {len(names)} fields.")
+        schema = _narrowest(names, row)
     checked = F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(
         F.lit(f"{path} has a row with more than {len(names)} fields"))).cast("boolean")
     typed = [fields[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
     return raw.where(checked.isNull()).select(*typed)
 
 
-def _infer_types(raw, names, fields, path) -> T.StructType:
-    aggregates = [F.count_if(F.col(OVERFLOW).isNotNull()).alias("overflow")]
+def type_strings(df: DataFrame, missing_tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+    """A table of text columns, typed as a CSV table without a schema is: one scan, then casts."""
+    fields = _without_tokens(df.columns, missing_tokens)
+    schema = _narrowest(df.columns, df.agg(*_fits(df.columns, fields)).first())
+    return df.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _without_tokens(names: Sequence[str], missing_tokens: Sequence[str]) -> dict[str, Column]:
+    return {n: F.when(~F.col(quoted(n)).isin(*missing_tokens), F.col(quoted(n))) for n in names}
+
+
+def _fits(names: Sequence[str], fields: dict[str, Column]) -> list[Column]:
+    """Per column the non-missing values, and those that are a bigint, a double, a boolean."""
+    aggregates = []
     for i, n in enumerate(names):
         value = fields[n]
         number = F.when(value.rlike(NUMBER) | value.rlike(INFINITE), value)
@@ -89,9 +104,10 @@ def _infer_types(raw, names, fields, path) -> T.StructType:
             F.count(number.try_cast("double")).alias(f"d{i}"),
             F.count_if(F.lower(value).isin("true", "false")).alias(f"b{i}"),
         ]
-    row = raw.agg(*aggregates).first()
-    if row["overflow"]:
-        raise DataLoadError(f"{row['overflow']} rows of {path} have more than {len(names)} fields.")
+    return aggregates
+
+
+def _narrowest(names: Sequence[str], row: Row) -> T.StructType:
     found = []
     for i, n in enumerate(names):
         filled = row[f"n{i}"]

@@ -3,6 +3,7 @@ import pytest
 from riskframe.config import ArtifactConfig, Config, ModelConfig, TuningConfig
 from riskframe.errors import DataValidationError
 from riskframe.plans import model_job, package_job, profile_job
+from riskframe.plans.common import load_and_check, prepare
 from riskframe.sources.sinks import read_json
 from conftest import model_rows
 
@@ -65,3 +66,18 @@ def test_package(spark, csv, tmp_path):
     assert outcome.differences == 0 and outcome.bundle.version == "v2"
     assert outcome.bundle.threshold_document["strategy"] == "min_recall"
     assert outcome.importance.summary["n_samples_explained"] == 48
+
+
+def test_missing_threshold_and_type_overrides_take_effect(spark, csv, tmp_path):
+    config = settings(csv, str(tmp_path))
+    config.data.missing_value_threshold = 0.05
+    df, report = load_and_check(spark, config)
+    assert any("num_0" in text for text in report.warnings)
+    config.data.missing_value_threshold = 0.5
+    assert not any("num_0" in text for text in load_and_check(spark, config)[1].warnings)
+
+    found = prepare(df, config)
+    numbers, others = found.numerical, found.categorical
+    config.data.numerical_columns, config.data.categorical_columns = numbers[1:], [*others, numbers[0]]
+    forced = prepare(df, config)
+    assert (forced.numerical, forced.categorical) == (numbers[1:], [*others, numbers[0]])
