@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "named")
 #: A literal counts as a secret from this score on (name weight times literal weight).
 LEAST_SCORE = 0.5
+#: Code points that propagated constants may add to one value.
+PROPAGATED = 4096
 
 # The base rules.
 ASSIGN = re.compile(
@@ -101,18 +103,27 @@ def literal_weight(value: str) -> float:
 
 
 def _resolve(value: str, constants: dict[str, str]) -> str:
-    """The text of a value: literals, names of known constants, and constants inside literals, joined."""
+    """The text of a value: literals, names of known constants, and constants inside literals, joined.
+
+    Constants add at most ``PROPAGATED`` code points to a value, so that a text that doubles a constant over
+    and over stays small in memory; beyond that their names stay as written.
+    """
+    left = PROPAGATED
+
+    def known(name: str, written: str) -> str:
+        nonlocal left
+        found = constants.get(name)
+        if found is None or len(found) > left:
+            return written
+        left -= len(found)
+        return found
+
     out = []
     for term in _TERM.finditer(value):
         if term["quoted"]:
-            inside = term["quoted"][1:-1]
-            out.append(_INSIDE.sub(lambda m: constants.get(m[1], m[0]), inside))
-        else:
-            bare = term["bare"]
-            if bare == "+":
-                continue
-            name = bare.strip("${}")
-            out.append(constants.get(name, bare))
+            out.append(_INSIDE.sub(lambda m: known(m[1], m[0]), term["quoted"][1:-1]))
+        elif term["bare"] != "+":
+            out.append(known(term["bare"].strip("${}"), term["bare"]))
     return "".join(out)
 
 

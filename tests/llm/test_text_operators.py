@@ -31,6 +31,11 @@ def test_secrets_base_rules_and_named_pairs():
     assert secret_lexing.mask_text("plain: prose") == "plain: prose"
 
 
+def test_secrets_constants_that_double_stay_small():
+    text = 'a = "xY9kQ2mZ"\n' + "a = a + a\n" * 200 + 'b = "q7Rt0pLw"\npassword_of_db = b\n'
+    assert [text[f.start:f.end] for f in secret_lexing.find_secrets(text)] == ['b = "q7Rt0pLw"', "password_of_db = b"]
+
+
 def test_secrets_on_odd_rows(spark):
     docs = spark.createDataFrame(ODD, SCHEMA).withColumnRenamed("doc_id", "doc_id").selectExpr("*", "1 as findings")
     assert secret_lexing.scan_secrets(docs).where("size(findings) > 0").count() == 0
