@@ -234,9 +234,11 @@ class Preprocessor(Estimator):
                           for i, (c, values) in enumerate(zip(categorical, labels))]
             raw = [_text_column(i) for i in range(len(categorical))]
             indexed = [_index_column(i) for i in range(len(categorical))]
-            # Sorted categories; an unseen one gets the index after the last.
+            # Sorted categories; an unseen one gets the index after the last, or stops the scoring.
+            known_only = config.handle_unknown_categorical == "error"
             indexer = StringIndexer(
-                inputCols=raw, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc",
+                inputCols=raw, outputCols=indexed, handleInvalid="error" if known_only else "keep",
+                stringOrderType="alphabetAsc",
             ).fit(local_table(train.sparkSession, list(itertools.zip_longest(*labels)),
                               ", ".join(f"{c} string" for c in raw)))
             labels = indexer.labelsArray
@@ -246,9 +248,9 @@ class Preprocessor(Estimator):
                 slots += [(f"categorical__{c}", c) for c in categorical]
             else:
                 encoded = [_onehot_column(i) for i in range(len(categorical))]
-                # The index of unseen categories is the last one and is dropped:
-                # they become all zeros.
-                stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True,
+                # The index of unseen categories, if there is one, is the last one and is
+                # dropped: they become all zeros.
+                stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=not known_only,
                                             handleInvalid="error").fit(indexer.transform(projection.transform(train))))
                 for i, c in enumerate(categorical):
                     values = list(labels[i])

@@ -12,7 +12,7 @@ from riskframe.config import Config
 from riskframe.errors import DataValidationError
 from riskframe.operators.models import LABEL
 from riskframe.operators.quality import QualityReport, column_types, quality_report
-from riskframe.operators.split import feature_projection, train_test_split
+from riskframe.operators.split import assign_parts, feature_projection
 from riskframe.sources.tables import load_table
 
 logger = logging.getLogger(__name__)
@@ -38,6 +38,8 @@ class Prepared:
     test: DataFrame
     numerical: list[str]
     categorical: list[str]
+    # Only if the settings ask for such a part.
+    validation: DataFrame | None = None
 
 
 def prepare(df: DataFrame, config: Config) -> Prepared:
@@ -45,8 +47,11 @@ def prepare(df: DataFrame, config: Config) -> Prepared:
     data = config.data
     rows = feature_projection(df, data.target_column, data.excluded_columns).where(F.col(LABEL).isNotNull())
     rows = rows.withColumn(LABEL, F.col(LABEL).cast("double"))
-    train, test = train_test_split(
-        rows, LABEL, data.id_columns, config.split.test_size, config.split.random_state, config.split.stratify)
+    split = config.split
+    parts = assign_parts(rows, LABEL, data.id_columns, split.test_size, split.validation_size, split.random_state,
+                         split.stratify)
+    train, validation, test = (parts.where(F.col("part") == name).drop("part")
+                               for name in ("train", "validation", "test"))
     numerical, categorical = column_types(train.schema, [LABEL, *data.id_columns], data.numerical_columns,
                                           data.categorical_columns)
-    return Prepared(train, test, numerical, categorical)
+    return Prepared(train, test, numerical, categorical, validation if split.validation_size else None)

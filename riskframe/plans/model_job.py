@@ -40,7 +40,7 @@ class ModelOutcome:
 
 def run(spark: SparkSession, config: Config, version: str | None = None) -> ModelOutcome:
     config.validate()
-    version = version or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    version = version or datetime.now(timezone.utc).strftime("run-%Y-%j-%H%M%S")
     artifacts, keys = config.artifacts, config.data.id_columns
     df, report = load_and_check(spark, config)
     gate(report)
@@ -51,8 +51,11 @@ def run(spark: SparkSession, config: Config, version: str | None = None) -> Mode
         for name in ("logistic_regression", "boosted_trees"):
             plan = model_plan(name, data.numerical, data.categorical, config.preprocessing, config.model, train)
             result = cross_validate(plan, train, keys, config.cv)
-            entries.append(ComparisonEntry(name, result.summary(), result.seconds,
-                                           limitations=["Baseline hyperparameters, not tuned."]))
+            held_out = None
+            if data.validation is not None:
+                held_out = classification_metrics(plan.fit(train).score(data.validation), LABEL, SCORE)
+            entries.append(ComparisonEntry(name, result.summary(), result.seconds, held_out,
+                                           ["fitted once with the configured parameters; the search comes later"]))
         table = comparison(entries)
         write_table(table, f"{artifacts.evaluation_reports_dir}/model_comparison_{version}")
 

@@ -12,17 +12,17 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskframe.config import ArtifactConfig, Config
 from riskframe.functions.columns import kept
-from riskframe.operators.attribution import Attributor, GlobalReport, explain_global
+from riskframe.operators.attribution import Attributor, GlobalReport, explain_global, explain_rows
 from riskframe.operators.bundle import (
-    Bundle, load_bundle, model_metadata, reload_differences, save_bundle,
+    Bundle, load_bundle, rescoring_differences, save_bundle, training_record,
 )
 from riskframe.operators.calibration import (
     CALIBRATED, CalibrationFit, compare, fit_calibrated, probability_histogram, reliability_curve,
 )
-from riskframe.operators.metrics import METRICS
 from riskframe.operators.models import LABEL, SCORE, ModelPlan, model_plan
 from riskframe.operators.threshold import SWEEP_COLUMNS, choose, save_threshold
 from riskframe.plans.common import gate, load_and_check, prepare
@@ -46,12 +46,8 @@ def save_version(spark: SparkSession, plan: ModelPlan, fit: CalibrationFit, chos
                  comparison: dict[str, Any], config: Config, version: str) -> Bundle:
     """Writes the bundle of a fitted model and its chosen threshold, and loads it again."""
     artifacts = config.artifacts
-    metadata = model_metadata(
-        artifacts.model_name, version, plan.name, fit.method, fit.strategy,
-        chosen["threshold"], chosen["strategy"], plan.seed, plan.numerical, plan.categorical,
-        config.data.target_column or LABEL, plan.params,
-        {m: comparison[f"after_{m}"] for m in METRICS},
-        {m: comparison[m] for m in ("brier_score_delta", "log_loss_delta")})
+    metadata = training_record(
+        artifacts.model_name, version, plan, fit, chosen, comparison, config.data.target_column or LABEL)
     document = {
         "threshold": chosen["threshold"], "strategy": chosen["strategy"], "rationale": chosen["rationale"],
         "metrics_at_threshold": {c: chosen[c] for c in SWEEP_COLUMNS[1:]},
@@ -87,12 +83,17 @@ def package(spark: SparkSession, plan: ModelPlan, train: DataFrame, keys: Sequen
         folder = artifacts.attribution_reports_dir
         write_table(importance.importance, f"{folder}/feature_importance")
         write_json(spark, importance.summary, f"{folder}/summary")
+        write_table(attributor.bar(fit.calibration_rows, limits.max_display_features), f"{folder}/bar")
+        if attributor.boxes.used:
+            write_table(attributor.swarm(fit.calibration_rows, keys, limits.max_display_features), f"{folder}/swarm")
+        local = explain_rows(attributor, fit.calibrated, fit.calibration_rows, row["threshold"], keys,
+                             limits.top_n_local_features)
+        # One row per feature that explains a decision, so the table has plain columns only.
+        write_table(local.select(*keys, "prediction_probability", "prediction", "threshold_used",
+                                 F.inline_outer("top_features")), f"{folder}/local")
 
     loaded = save_version(spark, plan, fit, row, comparison, config, version)
-    columns = [*keys, CALIBRATED]
-    differences = reload_differences(
-        fit.calibrated.score(fit.calibration_rows).select(*columns),
-        loaded.calibrated.score(fit.calibration_rows).select(*columns))
+    differences = rescoring_differences(fit.calibration_rows, fit.calibrated, loaded.calibrated)
     if differences:
         raise RuntimeError(f"the reloaded bundle scores {differences} rows differently")
     return PackageOutcome(fit, comparison, row["threshold"], importance, loaded, differences)

@@ -38,7 +38,7 @@ def main() -> None:
     config = Config()
     config.data.data_path, config.data.data_format = args.data_path, args.data_format
     config.data.target_column = args.target
-    run(build_session("profile"), config, args.output_dir or config.reporting.eda_dir)
+    run(build_session("profile"), config, args.output_dir or config.artifacts.profile_dir)
 
 
 if __name__ == "__main__":

@@ -9,6 +9,8 @@ from riskframe import config as c
     lambda: c.SplitConfig(test_size=.6, validation_size=.4),
     lambda: c.PreprocessingConfig(numerical_impute_strategy="nope"),
     lambda: c.PreprocessingConfig(encode_categorical="hash"),
+    lambda: c.PreprocessingConfig(handle_unknown_categorical="keep"),
+    lambda: c.PreprocessingConfig(max_categories=0),
     lambda: c.ModelConfig(model_type="forest"),
     lambda: c.ModelConfig(class_imbalance_strategy="smote"),
     lambda: c.CVConfig(n_splits=1),
@@ -33,11 +35,28 @@ def test_sections_are_checked_together():
         config.validate()
     config.data.target_column, config.data.id_columns = "y", ["id"]
     config.validate()
+    config.split.validation_size = .55
+    with pytest.raises(ValueError):
+        config.validate()
+    config.split.validation_size = .1
+    config.validate()
     config.calibration.calibration_holdout_size = .9
     with pytest.raises(ValueError):
         config.validate()
 
 
+def test_messages_name_the_setting_and_its_values():
+    with pytest.raises(ValueError, match=r"SplitConfig.test_size: 0 is not in \(0, 1\)"):
+        c.SplitConfig(test_size=0)
+    with pytest.raises(ValueError, match="CVConfig.n_splits: None"):
+        c.CVConfig(n_splits=None)
+
+
+def test_sections_do_not_share_defaults():
+    c.DataConfig().id_columns.append("k")
+    assert c.DataConfig().id_columns == []
+
+
 def test_threshold_grid_and_arguments():
     grid = c.ThresholdConfig().grid()
     assert len(grid) == 99 and grid[28] == 0.29 and grid[-1] == 0.99

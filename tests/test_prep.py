@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -122,3 +124,20 @@ def test_constant_columns_scale_to_zero(spark):
     got = prep.scale_statistics(rows, ["x", "y"], {"x": 0.0, "y": 0.0})
     assert got["x"] == (1e6 / 3, 1.0)
     assert got["y"] == pytest.approx((0.5, 0.5))
+
+
+def test_unknown_categories_stop_scoring_if_asked(spark):
+    schema = "x double, c string, d string"
+    train = spark.createDataFrame([(1.0, "a", "p"), (2.0, "b", "p"), (3.0, "a", "q"), (4.0, "c", "q")], schema)
+    new = spark.createDataFrame([(1.0, "z", "p")], schema)
+    for encoding in ("onehot", "ordinal"):
+        lenient, strict = (
+            prep.fit_preprocessor(train, ["x"], ["c", "d"], PreprocessingConfig(
+                encode_categorical=encoding, handle_unknown_categorical=policy)) for policy in ("ignore", "error"))
+        assert lenient.feature_names == strict.feature_names
+        one, other = ([r["features"].toArray().tolist() for r in fitted.transform(train).orderBy("x").collect()]
+                      for fitted in (lenient, strict))
+        assert one == other
+        assert lenient.transform(new).count() == 1
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            strict.transform(new).collect()

@@ -67,6 +67,26 @@ def test_package(spark, csv, tmp_path):
     assert outcome.bundle.threshold_document["strategy"] == "min_recall"
     assert outcome.importance.summary["n_samples_explained"] == 48
 
+    folder = config.artifacts.attribution_reports_dir
+    bar = spark.read.csv(f"{folder}/bar", header=True)
+    local = spark.read.csv(f"{folder}/local", header=True, inferSchema=True)
+    assert bar.count() == 3 and spark.read.csv(f"{folder}/swarm", header=True).count() > 0
+    assert local.select("row_id").distinct().count() == 48 and local.count() == 3 * 48
+    assert local.where("prediction != int(prediction_probability >= threshold_used)").isEmpty()
+
+
+def test_validation_part_is_held_out_and_compared(spark, csv, tmp_path):
+    config = settings(csv, str(tmp_path))
+    df, _ = load_and_check(spark, config)
+    assert prepare(df, config).validation is None
+    config.split.validation_size = 0.1
+    found = prepare(df, config)
+    ids = [{r["row_id"] for r in part.select("row_id").collect()}
+           for part in (found.train, found.validation, found.test)]
+    assert [len(part) for part in ids] == [168, 24, 48] and len(set.union(*ids)) == 240
+    outcome = model_job.run(spark, config, "v3")
+    assert outcome.comparison.where("val_roc_auc is null").isEmpty()
+
 
 def test_missing_threshold_and_type_overrides_take_effect(spark, csv, tmp_path):
     config = settings(csv, str(tmp_path))
