@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -127,6 +128,13 @@ def _resolve(value: str, constants: dict[str, str]) -> str:
     return "".join(out)
 
 
+def _inside(pair: re.Match) -> tuple[int, int]:
+    """Where the value of a pair lies; without the quotes if it is one literal."""
+    start, end = pair.span("value")
+    alone = _TERM.fullmatch(pair["value"])
+    return (start + 1, end - 1) if alone and alone["quoted"] else (start, end)
+
+
 def named_findings(text: str) -> list[Finding]:
     """Name-literal pairs whose literal, with constants put in, scores as a secret under the pair's name."""
     out, constants, literals = [], {}, {}
@@ -139,25 +147,30 @@ def named_findings(text: str) -> list[Finding]:
         if weight > 0:
             score = weight * literal_weight(resolved)
             if score >= LEAST_SCORE:
-                out.append(Finding("named", *m.span(), name, round(score, 4), *m.span("value")))
+                out.append(Finding("named", *m.span(), name, round(score, 4), *_inside(m)))
                 # A constant that ends up under a sensitive name is the secret, wherever it was written.
                 for term in re.findall(_REFERENCE, value):
                     source = literals.get(term.strip("${}"))
                     if source and literal_weight(constants[term.strip("${}")]) > 0:
-                        out.append(Finding("named", *source, name, round(score, 4), *source))
-        constants[name], literals[name] = resolved, m.span()
+                        out.append(Finding("named", *source[:2], name, round(score, 4), *source[2:]))
+        constants[name], literals[name] = resolved, (*m.span(), *_inside(m))
     return list({(f.start, f.end): f for f in out}.values())
 
 
 def find_secrets(text: str | None) -> list[Finding]:
-    """All findings in order; a named pair that a base assignment covers or equals is not told twice."""
+    """All findings in order; a named pair whose whole value a base assignment covers is not told twice."""
     if not text:
         return []
     base = base_findings(text)
+    # Ends and starts of the base values, which rise together: only the first that ends late enough can cover.
     taken = [f for f in base if f.kind == "assign"]
-    named = [f for f in named_findings(text)
-             if not any(b.start < f.end and f.start < b.end for b in taken)]
-    return sorted([*base, *named], key=Finding.order)
+    ends = [f.value_end for f in taken]
+
+    def covered(f: Finding) -> bool:
+        at = bisect_left(ends, f.value_end)
+        return at < len(taken) and taken[at].value_start <= f.value_start
+
+    return sorted([*base, *(f for f in named_findings(text) if not covered(f))], key=Finding.order)
 
 
 FINDINGS = "array<struct<kind: string, start: long, end: long, name: string, score: double>>"

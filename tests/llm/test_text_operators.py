@@ -31,6 +31,18 @@ def test_secrets_base_rules_and_named_pairs():
     assert secret_lexing.mask_text("plain: prose") == "plain: prose"
 
 
+@pytest.mark.parametrize(("text", "base", "named", "masked"), [
+    ('password = "hunter2abc!XYZ@99"', 'password = "hunter2abc', 'password = "hunter2abc!XYZ@99"', 'password = "[SECRET]"'),
+    ('api_key = BASE_VALUE + "s3cr3tTail"', "api_key = BASE_VALUE", 'api_key = BASE_VALUE + "s3cr3tTail"',
+     "api_key = [SECRET]"),
+    ('db_password = "hunter2hunter2"', 'password = "hunter2hunter2', None, 'db_password = "[SECRET]"'),
+])
+def test_secrets_beyond_a_base_match(text, base, named, masked):
+    found = [(f.kind, text[f.start:f.end]) for f in secret_lexing.find_secrets(text)]
+    assert sorted(found) == [("assign", base)] + ([("named", named)] if named else [])
+    assert secret_lexing.mask_text(text) == masked
+
+
 def test_secrets_constants_that_double_stay_small():
     text = 'a = "xY9kQ2mZ"\n' + "a = a + a\n" * 200 + 'b = "q7Rt0pLw"\npassword_of_db = b\n'
     assert [text[f.start:f.end] for f in secret_lexing.find_secrets(text)] == ['b = "q7Rt0pLw"', "password_of_db = b"]
