@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "named")
 #: A literal counts as a secret from this score on (name weight times literal weight).
 LEAST_SCORE = 0.5
-#: Code points that propagated constants may add to one value.
-PROPAGATED = 4096
 
 # The base rules.
 ASSIGN = re.compile(
@@ -38,8 +36,12 @@ NAME_WEIGHTS = {
     "public": -0.6, "url": -0.5, "uri": -0.5, "path": -0.6, "file": -0.6, "name": -0.5, "count": -0.6,
     "length": -0.6, "policy": -0.6, "hint": -0.6, "label": -0.6, "field": -0.6, "type": -0.5, "id": -0.3,
 }
+MARKS = re.compile(r"(?i)example|changeme|placeholder|your[_-]|dummy|redacted")
 PLACEHOLDER = re.compile(
-    r"(?i)^(?:.*(?:example|changeme|placeholder|your[_-]|dummy|redacted).*|(.)\1*|<.*>|\$\{.*\}|null|none|true|false)$")
+    rf"(?i)^(?:.*(?:{MARKS.pattern[4:]}).*|(.)\1*|<.*>|\$\{{.*\}}|null|none|true|false)$")
+ALIKE = re.compile(r"(?i)(.)\1*")
+#: Length of the longest mark.
+EDGE = len("placeholder")
 
 _LITERAL = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'" + r"|`[^`\n]*`"
 _REFERENCE = r"\$\{[A-Za-z_][\w.]*\}|\$?[A-Za-z_][\w.]*"
@@ -93,42 +95,90 @@ def name_weight(name: str) -> float:
     return max(0.0, min(1.0, best + min([0.0, *weights])))
 
 
-def literal_weight(value: str) -> float:
+class Summary:
+    """All that ``literal_weight`` needs of a text put together from pieces, in bounded space.
+
+    Doubling a text doubles the integers in here, which are exact whatever the length.
+    """
+
+    def __init__(self, *pieces: str | Summary):
+        self.length, self.counts, self.marked, self.head, self.tail = 0, Counter(), False, "", ""
+        for piece in pieces:
+            self._add(piece)
+
+    def _add(self, piece: str | Summary) -> None:
+        if isinstance(piece, str):
+            length, head, tail = len(piece), piece[:EDGE], piece[-EDGE:]
+            self.counts.update(piece)
+            self.marked = self.marked or bool(MARKS.search(piece))
+        else:
+            length, head, tail = piece.length, piece.head, piece.tail
+            for c, n in piece.counts.items():
+                self.counts[c] += n
+            self.marked = self.marked or piece.marked
+        # A mark may lie over the seam; edges as long as the longest mark show it.
+        self.marked = self.marked or bool(MARKS.search(self.tail + head))
+        self.head = (self.head + head)[:EDGE]
+        self.tail = (self.tail + tail)[-EDGE:]
+        self.length += length
+
+    def placeholder(self) -> bool:
+        """Whether ``PLACEHOLDER`` matches the text, for texts of eight code points or more."""
+        enclosed = self.head.startswith("<") and self.tail.endswith(">") or (
+            self.head.startswith("${") and self.tail.endswith("}"))
+        return self.marked or enclosed or bool(ALIKE.fullmatch("".join(self.counts)))
+
+
+def literal_weight(value: str | Summary) -> float:
     """How much a literal looks like a secret, 0 to 1: length, entropy, mixed characters, no placeholder."""
-    if len(value) < 8 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    if isinstance(value, str):
+        if len(value) < 8 or PLACEHOLDER.match(value):
+            return 0.0
+        length, counts = len(value), Counter(value)
+    else:
+        if value.length < 8 or value.placeholder():
+            return 0.0
+        length, counts = value.length, value.counts
+    if any(c.isspace() for c in counts):
         return 0.0
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    classes = sum(any(test(c) for c in value) for test in (str.islower, str.isupper, str.isdigit)) + (
-        any(not c.isalnum() for c in value))
+    # A share too small for a float has no weight.
+    shares = [share for n in counts.values() if (share := n / length) > 0]
+    bits = -sum(share * math.log2(share) for share in shares)
+    classes = sum(any(test(c) for c in counts) for test in (str.islower, str.isupper, str.isdigit)) + (
+        any(not c.isalnum() for c in counts))
     return min(1.0, bits / 3.5) * (1.0 if classes >= 2 else 0.5)
 
 
-def _resolve(value: str, constants: dict[str, str]) -> str:
-    """The text of a value: literals, names of known constants, and constants inside literals, joined.
+def _known(name: str, constants: dict[str, str | Summary]) -> Summary | None:
+    """The constant of a name; it is summarised once, where it is first used."""
+    found = constants.get(name)
+    if isinstance(found, str):
+        found = constants[name] = Summary(found)
+    return found
 
-    Constants add at most ``PROPAGATED`` code points to a value, so that a text that doubles a constant over
-    and over stays small in memory; beyond that their names stay as written.
-    """
-    left = PROPAGATED
-
-    def known(name: str, written: str) -> str:
-        nonlocal left
-        found = constants.get(name)
-        if found is None or len(found) > left:
-            return written
-        left -= len(found)
-        return found
 
-    out = []
+def _resolve(value: str, constants: dict[str, str | Summary]) -> str | Summary:
+    """A value's literals, known constants, and constants inside literals, joined: a text without, a summary with constants."""
+    pieces = []
     for term in _TERM.finditer(value):
         if term["quoted"]:
-            out.append(_INSIDE.sub(lambda m: known(m[1], m[0]), term["quoted"][1:-1]))
+            at, end = term.start() + 1, term.end() - 1
+            for m in _INSIDE.finditer(value, at, end):
+                found = _known(m[1], constants)
+                if found is not None:
+                    pieces += [value[at:m.start()], found]
+                    at = m.end()
+            pieces.append(value[at:end])
         elif term["bare"] != "+":
-            out.append(known(term["bare"].strip("${}"), term["bare"]))
-    return "".join(out)
+            found = _known(term["bare"].strip("${}"), constants)
+            pieces.append(term["bare"] if found is None else found)
+    pieces = [piece for piece in pieces if piece != ""]
+    if all(isinstance(piece, str) for piece in pieces):
+        return "".join(pieces)
+    return pieces[0] if len(pieces) == 1 else Summary(*pieces)
 
 
-def _inside(pair: re.Match) -> tuple[int, int]:
+def _value_span(pair: re.Match) -> tuple[int, int]:
     """Where the value of a pair lies; without the quotes if it is one literal."""
     start, end = pair.span("value")
     alone = _TERM.fullmatch(pair["value"])
@@ -147,13 +197,13 @@ def named_findings(text: str) -> list[Finding]:
         if weight > 0:
             score = weight * literal_weight(resolved)
             if score >= LEAST_SCORE:
-                out.append(Finding("named", *m.span(), name, round(score, 4), *_inside(m)))
+                out.append(Finding("named", *m.span(), name, round(score, 4), *_value_span(m)))
                 # A constant that ends up under a sensitive name is the secret, wherever it was written.
                 for term in re.findall(_REFERENCE, value):
                     source = literals.get(term.strip("${}"))
-                    if source and literal_weight(constants[term.strip("${}")]) > 0:
+                    if source and literal_weight(_known(term.strip("${}"), constants)) > 0:
                         out.append(Finding("named", *source[:2], name, round(score, 4), *source[2:]))
-        constants[name], literals[name] = resolved, (*m.span(), *_inside(m))
+        constants[name], literals[name] = resolved, (*m.span(), *_value_span(m))
     return list({(f.start, f.end): f for f in out}.values())
 
 

@@ -48,6 +48,29 @@ def test_secrets_constants_that_double_stay_small():
     assert [text[f.start:f.end] for f in secret_lexing.find_secrets(text)] == ['b = "q7Rt0pLw"', "password_of_db = b"]
 
 
+def test_secrets_in_long_constants():
+    random.seed(8)
+    blob = "".join(random.choices("ABCDEFghijkl0123456789+/", k=6000))
+    text = f'BLOB = "{blob}"\nprivate_key = BLOB\nPART = "{blob}"\nsigning_key = PART + PART + "x"\n'
+    masked = 'BLOB = "[SECRET]"\nprivate_key = [SECRET]\nPART = "[SECRET]"\nsigning_key = [SECRET]\n'
+    assert secret_lexing.mask_text(text) == masked
+
+
+def test_secrets_after_many_doublings():
+    text = 'a = "xY9kQ2mZ"\n' + "a = a + a\n" * 3000 + 'signing_key = a + "!"\n'
+    assert any(text[f.start:f.end].startswith("signing_key") for f in secret_lexing.find_secrets(text))
+
+
+def test_summaries_weigh_as_texts():
+    random.seed(9)
+    alphabet = ["a", "A", "ſ", "7", "!", "<", ">", "${", "}", " ", "exa", "mple", "YOUR", "_", "place", "holder", "Zx81kq"]
+    for _ in range(3000):
+        pieces = random.choices(random.sample(alphabet, random.choice([1, 2, 8])), k=random.randint(1, 14))
+        cut = random.randint(0, len(pieces))
+        got = secret_lexing.Summary(secret_lexing.Summary(*pieces[:cut]), secret_lexing.Summary(*pieces[cut:]))
+        assert secret_lexing.literal_weight(got) == secret_lexing.literal_weight("".join(pieces)), pieces
+
+
 def test_secrets_on_odd_rows(spark):
     docs = spark.createDataFrame(ODD, SCHEMA).withColumnRenamed("doc_id", "doc_id").selectExpr("*", "1 as findings")
     assert secret_lexing.scan_secrets(docs).where("size(findings) > 0").count() == 0
