@@ -16,6 +16,15 @@ def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key of every row, whatever its id.
+ROW = "__row"
+
+
+def with_row_keys(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` with a key for each row; written, so that a task that runs again sees the same keys."""
+    return settle(spark, df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

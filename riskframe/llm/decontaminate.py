@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import settle
+from riskframe.llm.common import ROW, settle, with_row_keys
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -124,6 +124,7 @@ def contained_items(
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that contain no item."""
-    leaks = contained_items(spark, docs, items, **options).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
+    """The rows of ``docs`` that contain no item; each row goes or stays by its own text, whatever its id."""
+    rows = with_row_keys(spark, docs)
+    leaks = contained_items(spark, rows, items, **{**options, "id_col": ROW}).select(F.col("doc_id").alias(ROW))
+    return rows.join(leaks.distinct(), ROW, "left_anti").drop(ROW)

@@ -156,6 +156,16 @@ def test_contained_items_match_brute_force(spark):
     assert decontaminate.contained_items(spark, frame, bench.limit(0)).count() == 0
 
 
+def test_contaminated_rows_go_alone(spark):
+    item = "one two three four five six"
+    rows = [(None, f"so {item} it"), (None, "clean text of no id"), (None, None), (4, item), (4, "clean text of four")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = decontaminate.drop_contaminated(spark, docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert left.columns == docs.columns
+    assert sorted(map(str, (tuple(r) for r in left.collect()))) == sorted(
+        map(str, [(None, "clean text of no id"), (None, None), (4, "clean text of four")]))
+
+
 def test_toxicity_learns_patterns_and_keeps_clean_rows(spark):
     random.seed(4)
     syllables = ["ra", "to", "mi", "lek", "su", "po", "ne", "vi"]
