@@ -750,5 +750,11 @@ def reload_parity(spark, d):
 
 @query
 def model_registry(spark, d):
+    """The registry entry beside the row and class counts of the tables that the bundle is for."""
     loaded, artifacts = _bundle(spark, d)
-    return plain(bundle.model_info(spark, artifacts.registry_dir, loaded.version).drop("packaged_at_utc"))
+    entry = bundle.model_info(spark, artifacts.registry_dir, loaded.version).drop("packaged_at_utc")
+    target = views.docs(spark, d).select("quality")
+    counts = target.agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count("quality").alias("n_labelled"),
+        *[F.count_if(F.col("quality") == c).alias(f"n_class_{c}") for c in (0, 1)])
+    return plain(entry.crossJoin(F.broadcast(counts)))

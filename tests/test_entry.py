@@ -31,3 +31,13 @@ def test_query_matches_sql(spark, con, name):
     got = entry_points.queries()[name](spark, FOLDER)
     problem = compare(got, con.execute(entry_points.oracle_sql()[name]))
     assert problem is None, problem
+
+
+def test_model_registry_reads_the_given_tables(spark, con):
+    query = entry_points.queries()["model_registry"]
+    assert query(spark, FOLDER).count() == 1
+    # The bundle is saved by now; the counts still come from the tables.
+    row = query(spark, FOLDER).first()
+    want = con.execute("""SELECT count(*), count(quality), count(*) FILTER (quality = 0), count(*) FILTER (quality = 1)
+        FROM documents LEFT JOIN labels USING (doc_id)""").fetchone()
+    assert tuple(row[c] for c in ("n_documents", "n_labelled", "n_class_0", "n_class_1")) == want
