@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import (
     chat_tree, decontaminate, host_reputation, language_mixture, lsh_forest, order_minhash, packing, quality_votes,
-    secret_lexing, toxicity,
+    secret_lexing, simhash_trie, toxicity,
 )
 from riskframe.llm.common import fold_of, table
 from riskframe.llm.oracles import LLM_ORACLES  # noqa: F401
@@ -128,6 +128,12 @@ def op10_lsh_forest(spark, d):
     return lsh_forest.near_duplicates(spark, table(spark, d, "documents"), words=2)
 
 
+@query
+def op12_simhash_trie(spark, d):
+    """SimHash groups of all documents: fingerprints of four-word shingles within four bits."""
+    return simhash_trie.near_duplicates(spark, table(spark, d, "documents"))
+
+
 @query
 def pipeline(spark, d):
     """The corpus pipeline: toxicity, near-duplicates, decontamination, secrets, packing."""
