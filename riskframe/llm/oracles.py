@@ -144,3 +144,107 @@ SELECT doc_id, k.n AS n_shingles, coalesce(root, node, doc_id) AS component_id,
   doc_id = coalesce(root, node, doc_id) AS kept
 FROM keyed k LEFT JOIN nodes USING (key) LEFT JOIN roots USING (node)
 """
+
+LLM_ORACLES["op13_bloom_search"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT place, doc_id, len(words)::BIGINT AS n FROM docs WHERE len(words) > 0),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS terms FROM sized),
+counts AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(words) AS term FROM docs) GROUP BY ALL),
+items AS (
+  SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL),
+item_terms AS (SELECT DISTINCT item, item_id, unnest(words) AS term FROM items),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals WHERE term IN (SELECT term FROM item_terms) GROUP BY term),
+scored AS (
+  SELECT item, item_id, doc_id, place,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // totals.terms))))::BIGINT AS score
+  FROM item_terms JOIN weights USING (term) JOIN counts USING (term) JOIN sized USING (place), totals GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+LLM_ORACLES["op11_structure_repair"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+kinds AS (
+  SELECT row_number() OVER () AS place, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 20 AS kind
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, 2 * place + copy AS place, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, (VALUES (0), (1)) AS c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, place) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, place) AS seen,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid, substr(role, 1, 1) AS initial
+  FROM damaged),
+faults AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+      WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+  FROM ordered),
+inserts(origin, mid, letters, cost) AS (VALUES
+  (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 5), (1, 2, 'I', 5), (2, 3, 'I', 5),
+  (3, 2, 'I', 5), (0, 3, 'II', 10), (1, 3, 'II', 10), (2, 2, 'II', 10), (3, 3, 'II', 10)),
+acts(mid, target, letter, cost, needs) AS (VALUES
+  (0, 0, 'D', 2, NULL), (1, 1, 'D', 2, NULL), (2, 2, 'D', 2, NULL), (3, 3, 'D', 2, NULL),
+  (0, 1, 'K', 0, 's'), (0, 2, 'K', 0, 'u'), (1, 2, 'K', 0, 'u'), (2, 3, 'K', 0, 'a'), (3, 2, 'K', 0, 'u'),
+  (0, 2, 'R', 1, NULL), (1, 2, 'R', 1, NULL), (2, 3, 'R', 1, NULL), (3, 2, 'R', 1, NULL)),
+edges AS (
+  SELECT origin, target, letters || letter AS letters, inserts.cost + acts.cost AS cost, letter, needs
+  FROM inserts JOIN acts USING (mid)),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, '000000000' AS path FROM conversations GROUP BY conv_id
+  UNION ALL
+  SELECT walk.conv_id, f.i, target, min(printf('%09d', substr(path, 1, 9)::INTEGER + cost
+      + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 5 ELSE 0 END) || substr(path, 10) || letters)
+  FROM walk JOIN faults f ON f.conv_id IS NOT DISTINCT FROM walk.conv_id AND f.i = walk.i + 1
+  JOIN edges ON origin = state AND (letter = 'D' OR (fault NOT IN ('blank', 'duplicate')
+    AND (needs IS NULL OR needs = initial)))
+  GROUP BY walk.conv_id, f.i, target),
+sizes AS (SELECT conv_id, max(i) AS n FROM walk GROUP BY conv_id),
+best AS (
+  SELECT walk.conv_id, min(printf('%09d', substr(path, 1, 9)::INTEGER + cost) || substr(path, 10) || letters) AS path
+  FROM walk JOIN sizes ON sizes.conv_id IS NOT DISTINCT FROM walk.conv_id AND i = n
+  JOIN (VALUES (0, '', 0), (3, '', 0), (2, 'I', 5), (1, 'II', 10)) AS e(state, letters, cost) USING (state)
+  GROUP BY walk.conv_id),
+audits AS (SELECT conv_id, substr(path, 1, 9)::BIGINT AS cost, substr(path, 10) AS audit FROM best),
+letters AS (
+  SELECT conv_id, k, substr(audit, k, 1) AS letter FROM (
+    SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM audits)),
+numbered AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i,
+    count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY k) AS place
+  FROM letters),
+placed AS (
+  SELECT n.conv_id, k, letter, place, role, text, initial,
+    max((place = 1 AND letter = 'K' AND initial = 's')::INTEGER) OVER (PARTITION BY n.conv_id) AS led
+  FROM numbered n LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.i AND letter <> 'I'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS whole
+  FROM placed WHERE letter <> 'D' GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM audits a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import (
     chat_tree, decontaminate, host_reputation, language_mixture, lsh_forest, order_minhash, packing, quality_votes,
-    secret_lexing, simhash_trie, toxicity,
+    ranked_search, secret_lexing, simhash_trie, structure_repair, toxicity,
 )
 from riskframe.llm.common import fold_of, table
 from riskframe.llm.oracles import LLM_ORACLES  # noqa: F401
@@ -128,12 +128,34 @@ def op10_lsh_forest(spark, d):
     return lsh_forest.near_duplicates(spark, table(spark, d, "documents"), words=2)
 
 
+@query
+def op11_structure_repair(spark, d):
+    """All conversations, damaged by a checksum, and what repairs them."""
+    turns = table(spark, d, "conversations")
+    repaired, reports = structure_repair.repair(spark, structure_repair.damage(turns))
+    out = turns.select("conv_id").distinct()
+    for part in (reports, structure_repair.digests(repaired)):
+        part = part.withColumnRenamed("conv_id", "__conv")
+        out = out.join(part, out["conv_id"].eqNullSafe(part["__conv"]), "left").drop("__conv")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 @query
 def op12_simhash_trie(spark, d):
     """SimHash groups of all documents: fingerprints of four-word shingles within four bits."""
     return simhash_trie.near_duplicates(spark, table(spark, d, "documents"))
 
 
+@query
+def op13_bloom_search(spark, d):
+    """The ten best documents of every benchmark item, by exact integer scores."""
+    return ranked_search.search(spark, table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 @query
 def pipeline(spark, d):
     """The corpus pipeline: toxicity, near-duplicates, decontamination, secrets, packing."""
