@@ -9,15 +9,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.samples import labelled_sample
 
 #: Labelled rows that the models are fitted on, about, at most.
 FIT_ROWS = 20_000
-#: Word patterns that become voters at most, and how sure (standard deviations) and frequent they must be.
-MOST_PATTERNS, LEAST_Z, LEAST_ROWS = 600, 3.0, 4
+#: Patterns that become voters at most and of one stem at most, and how sure (standard deviations) and frequent
+#: they must be.
+MOST_PATTERNS, MOST_OF_STEM, LEAST_Z, LEAST_ROWS = 600, 2, 3.0, 4
+#: First letters that make a stem; words on one stem from which a voter fires, as a count and per thousand words.
+STEMS, COUNTS, SHARES = (3, 4, 5), (1, 2, 3, 5, 8, 13), (20, 50, 100, 200)
+#: How often the given label is 1 on toxic and on clean rows. It anchors the label model, EM does not move it.
+TRUST = (0.98, 0.003)
+#: Residual correlation from which two voters are of one block.
+BLOCK_CORRELATION = 0.2
 #: A score from which a document is called toxic.
 CUTOFF = 0.7
 _ROUNDS, _RIDGE = 12, 1.0
@@ -26,13 +33,6 @@ _ROUNDS, _RIDGE = 12, 1.0
 LEXICON = ("idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting",
            "imbecile", "dumb", "filth", "vermin", "bastard", "bitch", "asshole", "retard", "cretin", "pig")
 _WORD = re.compile(r"[^\W\d_]+")
-_TO_YOU = re.compile(r"\byou(?:'re| are)?\s+(?:\w+\s+){0,2}(?:" + "|".join(LEXICON) + r")\b")
-
-
-def patterns_of(words: list[str]) -> set[str]:
-    """Candidate voters in a text: short words whole (``=``), longer ones by their first letters (``*``)."""
-    short = {w + "=" for w in words if len(w) <= 5}
-    return short.union({w[:5] + "*" for w in words if len(w) > 5}, {w[:6] + "*" for w in words if len(w) > 6})
 
 
 def _words(text: str | None) -> tuple[str, list[str]]:
@@ -40,6 +40,25 @@ def _words(text: str | None) -> tuple[str, list[str]]:
     return low, _WORD.findall(low)
 
 
+def stem_votes(count: int, words: int) -> list[str]:
+    """What ``count`` of ``words`` words on one stem say: ``c3`` at least 3 of them, ``s50`` at least 50 in a thousand."""
+    out = [f"c{n}" for n in COUNTS if count >= n]
+    return out + [f"s{n}" for n in SHARES if count > 1 and 1000 * count >= n * words]
+
+
+def patterns_of(words: list[str]) -> set[str]:
+    """Candidate voters in a text: short words whole (``word=``), and how often words lie on a stem (``stem*c3``)."""
+    counts: Counter = Counter()
+    short = set()
+    for word, n in Counter(words).items():
+        if len(word) <= 5:
+            short.add(word + "=")
+        for size in STEMS:
+            if len(word) > size:
+                counts[word[:size]] += n
+    return short.union(f"{stem}*{vote}" for stem, n in counts.items() for vote in stem_votes(n, len(words)))
+
+
 @dataclass(frozen=True)
 class Voters:
     """The learned patterns; the lexicon and the fixed patterns come before them."""
@@ -48,30 +67,41 @@ class Voters:
 
     @property
     def names(self) -> tuple[str, ...]:
-        fixed = ("any_insult", "two_insults", "dense_insults", "insult_to_you", "shouted_insult", "any_pattern",
-                 "two_patterns")
+        fixed = ("any_insult", "two_insults", "dense_insults", "shouted_insult", "any_pattern", "two_patterns")
         return (*LEXICON, *fixed, *self.patterns)
 
-    def index(self) -> dict[str, int]:
-        return {name: i for i, name in enumerate(self.names)}
+    def index(self) -> tuple[dict[str, int], frozenset[str]]:
+        """The place of each voter, and the stems that any of them looks at."""
+        return {name: i for i, name in enumerate(self.names)}, frozenset(
+            p.partition("*")[0] for p in self.patterns if "*" in p)
 
-    def votes(self, text: str | None, index: dict[str, int]) -> list[int]:
+    def votes(self, text: str | None, known: tuple[dict[str, int], frozenset[str]]) -> list[int]:
         """Positions of the voters that call the text toxic; the others call it clean."""
-        low, words = _words(text)
+        index, stems = known
+        _, words = _words(text)
+        distinct = Counter(words)
         fired = []
-        insults = [w for w in words if w in _LEXICON]
+        insults = _LEXICON.intersection(distinct)
         if insults:
-            fired += [index[w] for w in set(insults)]
+            fired += [index[w] for w in insults]
             fired.append(index["any_insult"])
-            if len(set(insults)) > 1:
+            if len(insults) > 1:
                 fired.append(index["two_insults"])
-            if len(insults) >= 0.01 * len(words):
+            if sum(distinct[w] for w in insults) >= 0.01 * len(words):
                 fired.append(index["dense_insults"])
-            if _TO_YOU.search(low):
-                fired.append(index["insult_to_you"])
-            if any(w.upper() in (text or "") for w in set(insults)):
+            if any(w.upper() in (text or "") for w in insults):
                 fired.append(index["shouted_insult"])
-        found = [index[p] for p in patterns_of(words) if p in index]
+        found, counts = [], {}
+        for word, n in distinct.items():
+            if len(word) <= 5:
+                place = index.get(word + "=")
+                if place is not None:
+                    found.append(place)
+            for size in STEMS:
+                if len(word) > size and (stem := word[:size]) in stems:
+                    counts[stem] = counts.get(stem, 0) + n
+        for stem, n in counts.items():
+            found += [index[p] for vote in stem_votes(n, len(words)) if (p := f"{stem}*{vote}") in index]
         fired += found
         if found:
             fired.append(index["any_pattern"])
@@ -102,7 +132,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def learn_voters(sample: DataFrame) -> Voters:
-    """Word patterns that are clearly more frequent in toxic rows: counted by Spark, the best reach the driver."""
+    """Word patterns that are clearly more frequent in toxic rows: counted by Spark, the best reach the driver.
+
+    Of one stem only the surest patterns count, so that the words of one language do not
+    crowd out those of another.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = Counter(), Counter()
         for batch in batches:
@@ -121,38 +155,60 @@ def learn_voters(sample: DataFrame) -> Voters:
             for side, total in (("toxic", toxic), ("clean", clean))]
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     best = counts.where(F.col("toxic") >= LEAST_ROWS).withColumn("z", (odds[0] - odds[1]) / spread)
-    best = best.where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "pattern").limit(MOST_PATTERNS)
+    place = Window.partitionBy(F.regexp_replace("pattern", r"\*.*$", "*")).orderBy(F.desc("z"), "pattern")
+    best = best.where(F.col("z") >= LEAST_Z).withColumn("place", F.row_number().over(place))
+    best = best.where(F.col("place") <= MOST_OF_STEM).orderBy(F.desc("z"), "pattern").limit(MOST_PATTERNS)
     return Voters(tuple(row["pattern"] for row in best.collect()))
 
 
-def label_model(fired: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def blocks_of(correlation: np.ndarray, least: float = BLOCK_CORRELATION) -> np.ndarray:
+    """The block of each voter: voters are of one block if a chain of correlated ones joins them."""
+    label = np.arange(len(correlation))
+    i, j = np.nonzero(correlation > least)
+    while len(i):
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        while (label[label] != label).any():
+            label = label[label]
+        open_ = label[i] != label[j]
+        i, j = i[open_], j[open_]
+    return label
+
+
+def label_model(fired: np.ndarray, labels: np.ndarray, trust: tuple[float, float] = TRUST) -> np.ndarray:
     """Posterior probability that each row is toxic.
 
-    Every column of ``fired`` (0/1) is a voter, the given label is one more. EM estimates for each
-    how often it fires on toxic and on clean rows, that is its accuracy. Voters that agree
-    more than the latent label explains are correlated: each counts one over one plus its
-    positive residual correlations with the others.
+    Every column of ``fired`` (0/1) is a voter. EM estimates for each how often it fires on toxic and on
+    clean rows, that is its accuracy. The given label is one more voter, whose accuracy ``trust`` is held, so the
+    latent class stays the one that is labelled. Voters that agree more than the latent class
+    explains are correlated: a block of ``k`` of them with mean residual correlation ``r`` shares one
+    factor and weighs as ``k / (1 + (k - 1) * r)`` independent voters.
     """
-    votes = np.column_stack([fired, labels.astype(np.float32)])
-    together = (votes.T @ votes).astype(np.float64)
-    posterior = np.where(labels == 1, 0.95, 0.05)
+    hit, slip = trust
+    given = np.where(labels == 1, np.log(hit / slip), np.log((1 - hit) / (1 - slip)))
+    posterior = np.where(labels == 1, hit, slip)
+    together = (fired.T @ fired).astype(np.float64)
     for _ in range(_ROUNDS):
         share = np.clip(posterior.mean(), 1e-4, 1 - 1e-4)
-        on_toxic = ((posterior.astype(np.float32) @ votes).astype(np.float64) + 0.1) / (posterior.sum() + 1)
-        on_clean = (((1 - posterior).astype(np.float32) @ votes).astype(np.float64) + 0.1) / ((1 - posterior).sum() + 10)
+        on_toxic = ((posterior.astype(np.float32) @ fired).astype(np.float64) + 0.1) / (posterior.sum() + 1)
+        on_clean = (((1 - posterior).astype(np.float32) @ fired).astype(np.float64) + 0.1) / ((1 - posterior).sum() + 10)
         on_toxic, on_clean = np.clip(on_toxic, 1e-6, 1 - 1e-6), np.clip(on_clean, 1e-6, 1 - 1e-6)
-        # Covariance of what the latent label leaves unexplained, without a second table of its size.
+        # Covariance of what the latent class leaves unexplained, without a second table of its size.
         soft = np.stack([posterior, 1 - posterior])
         rates = np.stack([on_toxic, on_clean])
-        crossed = (soft.astype(np.float32) @ votes).T @ rates
-        cover = (together - crossed - crossed.T + rates.T @ (soft @ soft.T) @ rates) / len(votes)
+        crossed = (soft.astype(np.float32) @ fired).T @ rates
+        cover = (together - crossed - crossed.T + rates.T @ (soft @ soft.T) @ rates) / len(fired)
         scale = np.sqrt(np.clip(np.diag(cover), 1e-12, None))
         correlation = np.clip(cover / np.outer(scale, scale), 0, 1)
         np.fill_diagonal(correlation, 0)
-        discount = 1 / (1 + correlation.sum(axis=1))
+        discount, block = np.ones(len(correlation)), blocks_of(correlation)
+        for value in np.unique(block):
+            members = np.flatnonzero(block == value)
+            discount[members] = 1 / (1 + correlation[np.ix_(members, members)].sum() / len(members))
         gain = discount * (np.log(on_toxic / on_clean) - np.log((1 - on_toxic) / (1 - on_clean)))
         base = np.log(share / (1 - share)) + (discount * np.log((1 - on_toxic) / (1 - on_clean))).sum()
-        updated = _sigmoid((votes @ gain.astype(np.float32)).astype(np.float64) + base)
+        updated = _sigmoid((fired @ gain.astype(np.float32)).astype(np.float64) + base + given)
         moved = np.abs(updated - posterior).max()
         posterior = updated
         if moved < 1e-4:
@@ -200,7 +256,7 @@ def fit_toxicity(
     size = len(voters.names)
     if not rows or len({row["label"] for row in rows}) < 2:
         weights = np.zeros(size)
-        weights[voters.index()["any_insult"]] = 6.0
+        weights[voters.index()[0]["any_insult"]] = 6.0
         return Toxicity(voters, weights, -3.0)
     fired = np.zeros((len(rows), size), dtype=np.float32)
     for i, row in enumerate(rows):
@@ -210,31 +266,31 @@ def fit_toxicity(
     return Toxicity(voters, weights, bias)
 
 
-def score_toxicity(spark: SparkSession, docs: DataFrame, model: Toxicity, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, higher: more likely toxic) and ``predicted`` (1 from the cutoff on).
-
-    Each whole text is scored where it is read; the broadcast model has a fixed size. Null and empty
-    texts get the score of a text without any vote. Rows keep their other columns, repeated rows are scored each, an
-    empty table stays empty.
-    """
-    shared = spark.sparkContext.broadcast(model)
+def _scorer(spark: SparkSession, model: Toxicity):
+    """A column function of scores; each whole text is scored where it is read."""
+    shared = spark.sparkContext.broadcast(model)  # of a fixed size
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series(shared.value.scores(texts.tolist()))
 
+    return score
+
+
+def score_toxicity(spark: SparkSession, docs: DataFrame, model: Toxicity, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``score`` (0 to 1, higher: more likely toxic) and ``predicted`` (1 from the cutoff on).
+
+    Null and empty texts get the score of a text without any vote. Rows keep their other columns, repeated rows are
+    scored each, an empty table stays empty.
+    """
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*kept, score(F.col(text_col)).alias("score"))
+    rows = docs.select(*kept, _scorer(spark, model)(F.col(text_col)).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= CUTOFF).cast("int"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not called toxic, by a model learned from the labels of ``docs``."""
-    model = fit_toxicity(docs, labels)
-    shared = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores(texts.tolist()))
+    """The rows of ``docs`` that are not called toxic, by a model learned from the labels of ``docs``.
 
-    return docs.where(score(F.col("text")) < CUTOFF)
+    Rows and columns are as they came; null and empty texts stay unless a text without any vote is called toxic.
+    """
+    return docs.where(_scorer(spark, fit_toxicity(docs, labels))(F.col("text")) < CUTOFF)
