@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,20 +11,42 @@ from pyspark.sql import functions as F
 from riskframe.session import scratch_path
 
 
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it back: lineage ends there, lost executors cost nothing."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def release(spark: SparkSession, *settled: DataFrame) -> None:
+    """Deletes settled tables that nothing reads any more; frames that ``settle`` did not make are left alone."""
+    for df in settled:
+        name = _paths.pop(df, None)
+        if name:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: A key of every row, whatever its id.
 ROW = "__row"
 
 
-def with_row_keys(spark: SparkSession, df: DataFrame) -> DataFrame:
+def free_name(df: DataFrame) -> str:
+    """A name for a row key that no column of ``df`` has, in whatever case."""
+    name, taken = ROW, {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def with_row_keys(spark: SparkSession, df: DataFrame, name: str = ROW) -> DataFrame:
     """``df`` with a key for each row; written, so that a task that runs again sees the same keys."""
-    return settle(spark, df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    return settle(spark, df.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import settle
+from riskframe.llm.common import release, settle
 
 # Pointer jumps between two contractions; more jumps save rounds on long chains.
 JUMPS = 2
@@ -16,7 +16,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     Each round maps both ends of an edge to the smaller neighbours found so far and drops
     edges inside a label, so the graph shrinks at least by half; the rounds end when no
-    edge is left. Every round is written to the shared folder. No node's neighbours are
+    edge is left. Every round is written to the shared folder, the one before is deleted. No node's neighbours are
     collected: minima are pre-aggregated, so a node may hold a third of all edges.
     Null ends and loops are ignored; no edges give no rows.
     """
@@ -26,7 +26,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     labels = both.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     while not both.isEmpty():
         parents = both.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p"))
-        parents = settle(spark, parents, "parents")
+        parents = first = settle(spark, parents, "parents")
         for _ in range(JUMPS):
             above = parents.select(F.col("a").alias("__a"), F.col("p").alias("__p"))
             parents = parents.join(above, F.col("p") == F.col("__a"), "left").select(
@@ -38,8 +38,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             ends = ends.join(step, F.col(end) == F.col("__a"), "left").withColumn(
                 end, F.coalesce("__p", end)).drop("__a", "__p")
         step = parents.select(F.col("a").alias("__a"), F.col("p").alias("__p"))
-        labels = labels.join(step, F.col("root") == F.col("__a"), "left").select(
+        named = labels.join(step, F.col("root") == F.col("__a"), "left").select(
             "node", F.coalesce("__p", "root").alias("root"))
-        labels = settle(spark, labels, "labels")
+        old = labels, both, first, parents
+        labels = settle(spark, named, "labels")
         both = settle(spark, ends.where(F.col("a") != F.col("b")).distinct(), "edges")
+        release(spark, *old)
     return labels
