@@ -70,23 +70,24 @@ def conversation_paths(conversations: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for conv_id, roles, texts in zip(batch["conv_id"].tolist(), batch["roles"], batch["texts"], strict=True):
-                key = None if pd.isna(conv_id) else int(conv_id)
                 node, path = b"", b""
                 for depth, (role, text) in enumerate(zip(roles, texts, strict=True)):
                     data = [part.encode("utf-8", "surrogatepass") for part in (role, text)]
                     node = hashlib.blake2b(node + len(data[0]).to_bytes(8, "big") + b"".join(data),
                                            digest_size=16).digest()
                     path += node[:8]
-                    rows.append((key, depth, depth == len(roles) - 1, node, path, role, text))
+                    rows.append((conv_id, depth, depth == len(roles) - 1, node, path, role, text))
                 if len(rows) > 5000:
-                    yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
+                    yield pd.DataFrame(rows, columns=names)
                     rows = []
-            yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
-
-    source = whole.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turns.role").alias("roles"),
-                          F.col("turns.text").alias("texts"))
-    return source.mapInPandas(
-        work, "conv_id long, depth int, last boolean, node binary, path binary, role string, text string")
+            yield pd.DataFrame(rows, columns=names)
+
+    # Ids pass through Python as text: a number beside a null would become a double there.
+    source = whole.select(F.col("conv_id").cast("long").cast("string").alias("conv_id"),
+                          F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts"))
+    paths = source.mapInPandas(
+        work, "conv_id string, depth int, last boolean, node binary, path binary, role string, text string")
+    return paths.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def _tokenized(nodes: DataFrame, tokenizer_path: str) -> DataFrame:

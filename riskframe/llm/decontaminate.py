@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import ROW, settle, with_row_keys
+from riskframe.llm.common import ROW, free_name, settle, with_row_keys
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -78,16 +78,19 @@ def contained_items(
     else joined by a shuffle.
 
     Null, empty and blank texts contain nothing. Rows that repeat an id count as one
-    document with its best row; a null id is an id. Items with equal texts all match.
-    Other columns are ignored. Without documents or items the result is empty.
+    document with its best row; a null id is an id. So it is with items: each row is searched for by itself, and
+    of the rows of one ``item_id`` the best contained one tells ``shared``, ``item_shingles`` and ``containment``.
+    Items with equal texts all match. Other columns are ignored. Without documents or items the result is empty.
     """
-    sketches = settle(spark, sketch_items(items, item_id_col, item_text_col, words, containment), "sketches")
+    items = with_row_keys(spark, items.select(F.col(item_id_col).alias("__item"), F.col(item_text_col).alias("text")))
+    sketches = settle(spark, sketch_items(items, ROW, "text", words, containment), "sketches")
     picks = sketches.select("width", F.explode("sketch").alias("hash"), "item_id").distinct()
     widths = [row["width"] for row in sketches.select("width").distinct().collect()]  # at most one per word count
     sized = picks.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     source = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
     if not widths:
-        keys = [docs.select(F.col(id_col).alias("doc_id")).schema[0], sketches.schema["item_id"]]
+        keys = [docs.select(F.col(id_col).alias("doc_id")).schema[0],
+                items.select(F.col("__item").alias("item_id")).schema[0]]
         return spark.createDataFrame([], T.StructType(keys + RESULT.fields))
 
     # Hashes of all widths in use; a width is part of its hash.
@@ -97,11 +100,11 @@ def contained_items(
     hits = shingles.join(F.broadcast(keys) if sized <= BROADCAST_ROWS else keys, "hash")
     found = settle(spark, hits.select("doc_id", "item_id").distinct(), "candidates")
 
-    spelled = items.select(F.col(item_id_col).alias("item_id"), _words(F.col(item_text_col)).alias("words"))
+    spelled = items.select(F.col(ROW).alias("item_id"), "__item", _words(F.col("text")).alias("words"))
     whole = F.lit(None).cast("array<string>")
     for width in sorted(widths):
         whole = F.when(F.least(F.size("words"), F.lit(words)) == width, _spelled(width)).otherwise(whole)
-    spelled = spelled.where(F.size("words") > 0).select("item_id", F.size("words").alias("n_words"),
+    spelled = spelled.where(F.size("words") > 0).select("item_id", "__item", F.size("words").alias("n_words"),
                                                          whole.alias("item_set"))
     wanted = found.groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
     wanted = settle(spark, wanted.select(F.col("doc_id").alias("__doc"), "items"), "suspects")
@@ -114,17 +117,18 @@ def contained_items(
     for width in sorted(widths):
         shared = F.when(F.least(F.col("n_words"), F.lit(words)) == width,
                         F.size(F.array_intersect(f"set_{width}", "item_set"))).otherwise(shared)
-    rows = rows.select("doc_id", "item_id", shared.cast("long").alias("shared"),
+    rows = rows.select("doc_id", F.col("__item").alias("item_id"), shared.cast("long").alias("shared"),
                        F.size("item_set").cast("long").alias("item_shingles"))
-    rows = rows.groupBy("doc_id", "item_id").agg(
-        F.max("shared").alias("shared"), F.max("item_shingles").alias("item_shingles"))
-    share = F.col("shared") / F.col("item_shingles")
-    return rows.withColumn("containment", share).where(
+    rows = rows.withColumn("containment", F.col("shared") / F.col("item_shingles")).where(
         F.col("shared") >= F.lit(containment) * F.col("item_shingles") - F.lit(1e-9))
+    best = rows.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("containment", "shared", "item_shingles")).alias("best"))
+    return best.select("doc_id", "item_id", "best.shared", "best.item_shingles", "best.containment")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that contain no item; each row goes or stays by its own text, whatever its id."""
-    rows = with_row_keys(spark, docs)
-    leaks = contained_items(spark, rows, items, **{**options, "id_col": ROW}).select(F.col("doc_id").alias(ROW))
-    return rows.join(leaks.distinct(), ROW, "left_anti").drop(ROW)
+    key = free_name(docs)
+    rows = with_row_keys(spark, docs, key)
+    leaks = contained_items(spark, rows, items, **{**options, "id_col": key}).select(F.col("doc_id").alias(key))
+    return rows.join(leaks.distinct(), key, "left_anti").drop(key)

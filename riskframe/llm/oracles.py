@@ -70,26 +70,33 @@ FROM ruled LEFT JOIN reputation USING (host)
 
 LLM_ORACLES["op5_minhash_containment"] = r"""
 WITH item_words AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
+  SELECT row_number() OVER () AS item, item_id,
+    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
   FROM benchmark),
 items AS (
-  SELECT item_id, least(len(words), 5) AS width, words FROM item_words WHERE len(words) > 0),
+  SELECT item, item_id, least(len(words), 5) AS width, words FROM item_words WHERE len(words) > 0),
 item_shingles AS (
-  SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(words) - width + 2),
+  SELECT DISTINCT item, width, unnest(list_transform(range(1, len(words) - width + 2),
     lambda i: array_to_string(words[i:i + width - 1], ' '))) AS shingle FROM items),
 doc_words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
+  SELECT row_number() OVER () AS doc, doc_id,
+    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
   FROM documents),
 doc_shingles AS (
-  SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2),
+  SELECT DISTINCT doc, doc_id, width, unnest(list_transform(range(1, len(words) - width + 2),
     lambda i: array_to_string(words[i:i + width - 1], ' '))) AS shingle
   FROM doc_words, (SELECT DISTINCT width FROM items)),
-sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY item_id),
+sizes AS (SELECT item, count(*) AS item_shingles FROM item_shingles GROUP BY item),
 shared AS (
-  SELECT doc_id, item_id, count(*) AS shared
-  FROM doc_shingles JOIN item_shingles USING (width, shingle) GROUP BY ALL)
-SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
-FROM shared JOIN sizes USING (item_id) WHERE 5 * shared >= 4 * item_shingles
+  SELECT doc, doc_id, item, count(*) AS shared
+  FROM doc_shingles JOIN item_shingles USING (width, shingle) GROUP BY ALL),
+contained AS (
+  SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
+  FROM shared JOIN sizes USING (item) JOIN items USING (item) WHERE 5 * shared >= 4 * item_shingles)
+SELECT doc_id, item_id, shared, item_shingles, containment FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY containment DESC, shared DESC) AS place
+  FROM contained)
+WHERE place = 1
 """
 
 LLM_ORACLES["op8_prefix_tree"] = r"""

@@ -138,14 +138,12 @@ def pack_documents(
 
         def packed() -> pd.DataFrame:
             rows, packer.rows = packer.rows, []
-            out = pd.DataFrame(rows, columns=names)
-            return out.astype({"doc_id": "Int64"})
+            return pd.DataFrame(rows, columns=names)
 
         for batch in batches:
             for i in range(0, len(batch), 256):
                 part = batch.iloc[i:i + 256]
-                keys = [None if pd.isna(key) else int(key) for key in part["doc_id"].tolist()]
-                for key, ids in zip(keys, encoder.encode(part["text"].tolist()), strict=True):
+                for key, ids in zip(part["doc_id"].tolist(), encoder.encode(part["text"].tolist()), strict=True):
                     packer.add(key, ids + end)
                     if packer.waiting > POOL_TOKENS:
                         packer.pack(REST_TOKENS)
@@ -155,5 +153,7 @@ def pack_documents(
         if packer.rows:
             yield packed()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        work, PIECES)
+    # Ids pass through Python as text: a number beside a null would become a double there.
+    source = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    pieces = source.mapInPandas(work, PIECES.replace("doc_id long", "doc_id string"))
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -6,7 +6,6 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -233,14 +232,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     have no findings. Repeated rows give repeated results, null ids stay null, other
     columns are ignored, an empty table gives an empty result.
     """
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [[{"kind": f.kind, "start": f.start, "end": f.end, "name": f.name, "score": f.score}
-                      for f in find_secrets(text)] for text in batch["text"].tolist()]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "findings": found})
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInPandas(work, f"doc_id long, findings {FINDINGS}")
+    @F.pandas_udf(FINDINGS)
+    def findings(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"kind": f.kind, "start": f.start, "end": f.end, "name": f.name, "score": f.score}
+                           for f in find_secrets(text)] for text in texts.tolist()], dtype=object)
+
+    # The id stays in the JVM: Python would turn ids beside a null into doubles.
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), findings(F.col(text_col)).alias("findings"))
 
 
 def mask_text(text: str | None, mark: str = "[SECRET]") -> str | None:
