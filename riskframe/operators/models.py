@@ -185,11 +185,16 @@ class FittedModel:
     classifier: Any
 
     def pipeline(self) -> PipelineModel:
+        if self.prep.model is None:
+            raise ValueError("a model whose categories are a table is no pipeline; save its parts instead")
         return PipelineModel([*self.prep.model.stages, self.classifier])
 
     def score(self, df: DataFrame, output: str = SCORE) -> DataFrame:
-        """Adds the probability of class 1; a narrow projection."""
+        """Adds the probability of class 1; a narrow projection, or joins where the categories are a table."""
         self.prep.schema.require(df)
+        if self.prep.model is None:
+            scored = self.classifier.transform(self.prep.transform(df, FEATURES))
+            return scored.withColumn(output, vector_to_array("probability")[1]).drop(FEATURES, *CLASSIFIER_COLUMNS)
         return add_score(self.pipeline(), df, output)
 
 

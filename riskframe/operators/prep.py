@@ -25,6 +25,7 @@ from riskframe.config import PreprocessingConfig
 from riskframe.functions.columns import is_missing, kept, nan_to_null, quoted, to_long
 from riskframe.functions.local import local_table
 from riskframe.functions.quantiles import exact_quantiles
+from riskframe.operators.categories import WidePreprocessor
 from riskframe.operators.quality import FeatureSchema
 from riskframe.sources.sinks import read_json, write_json
 
@@ -107,25 +108,28 @@ def category_counts(df: DataFrame, columns: Sequence[str], as_type: str = "strin
     )
 
 
-def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> dict[str, tuple[str | None, list[str]]]:
-    """Mode and categories per column.
+def category_lists(
+    df: DataFrame, columns: Sequence[str], max_categories: int | None = None, listed: int | None = None,
+) -> dict[str, tuple[str | None, list[str]]] | None:
+    """Mode and categories per column; None if a column has more than ``listed`` of them.
 
-    The model holds the category lists; with ``max_categories`` their size is checked before they are read.
+    With ``max_categories`` more values in a column are an error. Values are read only when their number is known.
     """
     if not columns:
         return {}
-    counts = category_counts(df, columns).persist()
-    stats = counts.groupBy("column").agg(
-        F.count(F.lit(1)).alias("d"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect()
-    for r in stats:
-        if max_categories is not None and r["d"] > max_categories:
-            counts.unpersist()
-            raise ValueError(f"column {r['column']!r} has {r['d']} categories, more than max_categories={max_categories}")
-    found: dict[str, tuple[str | None, list[str]]] = {c: (None, []) for c in columns}
-    found.update({r["column"]: (r["mode"], []) for r in stats})
-    for r in counts.select("column", "value").collect():
-        found[r["column"]][1].append(r["value"])
-    counts.unpersist()
+    with kept(category_counts(df, columns)) as counts:
+        stats = counts.groupBy("column").agg(
+            F.count(F.lit(1)).alias("d"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect()
+        for r in stats:
+            if max_categories is not None and r["d"] > max_categories:
+                raise ValueError(
+                    f"column {r['column']!r} has {r['d']} categories, more than max_categories={max_categories}")
+        if listed is not None and any(r["d"] > listed for r in stats):
+            return None
+        found: dict[str, tuple[str | None, list[str]]] = {c: (None, []) for c in columns}
+        found.update({r["column"]: (r["mode"], []) for r in stats})
+        for r in counts.select("column", "value").collect():
+            found[r["column"]][1].append(r["value"])
     return found
 
 
@@ -197,17 +201,25 @@ class Preprocessor(Estimator):
         self.fitted = self.fit_map(dataset)
         return self.fitted.model
 
-    def fit_map(self, train: DataFrame) -> FittedPreprocessor:
+    def fit_map(self, train: DataFrame) -> FittedPreprocessor | WidePreprocessor:
         self.schema.require(train)
         with kept(train, self.schema.names) as rows:
             return self.fit_rows(rows)
 
-    def fit_rows(self, train: DataFrame) -> FittedPreprocessor:
-        """The fit itself: one pass for moments, one for medians, one for categories."""
+    def fit_rows(self, train: DataFrame) -> FittedPreprocessor | WidePreprocessor:
+        """The fit itself: one pass for moments, two for medians, one for categories.
+
+        A column of more than ``listed_categories`` values makes it a ``WidePreprocessor``, whose categories are a table.
+        """
         config = self.config
         numeric = numeric_fill(train, self.schema.numerical, config.numerical_impute_strategy,
                                config.numerical_fill_value)
-        lists = category_lists(train, self.schema.categorical, config.max_categories)
+        lists = category_lists(train, self.schema.categorical, config.max_categories, config.listed_categories)
+        if lists is None:
+            known = [c for c in self.schema.numerical if numeric[c] is not None]
+            scaled = self.family == LINEAR and config.scale_numerical
+            scale = scale_statistics(train, known, numeric) if scaled else {}
+            return WidePreprocessor.fit(train, self.schema, numeric, scale, config)
         constant = config.categorical_impute_strategy == "constant"
         category = {c: config.categorical_fill_value if constant else lists[c][0] for c in self.schema.categorical}
         dropped = [c for c, v in {**numeric, **category}.items() if v is None]
@@ -310,6 +322,7 @@ def helper_columns(df: DataFrame) -> list[str]:
 
 
 def fit_preprocessor(train: DataFrame, numerical: Sequence[str], categorical: Sequence[str],
-                     config: PreprocessingConfig | None = None, family: str = LINEAR) -> FittedPreprocessor:
+                     config: PreprocessingConfig | None = None, family: str = LINEAR,
+                     ) -> FittedPreprocessor | WidePreprocessor:
     """Fits on training rows only. Never hand this a frame that holds test rows."""
     return Preprocessor(numerical, categorical, config, family).fit_map(train)

@@ -78,6 +78,10 @@ FROM missing WHERE missing_count / n_rows > 0.5""")
 oracle("duplicate_count", f"""WITH {LINES}
 SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (
   SELECT count(*) AS n FROM lines GROUP BY l_quantity, l_discount, l_tax, l_returnflag, l_linestatus)""")
+oracle("duplicate_count_wide", """
+WITH twice AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 7 = 0)
+SELECT (SELECT count(*) FROM twice) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS duplicate_rows""")
+
 oracle("target_distribution", f"""WITH {DOCS}
 SELECT CAST(quality AS BIGINT) AS target, count(*) AS n, {dbl('count(*) / (SELECT count(*) FROM docs)')} AS share
 FROM docs GROUP BY quality""")
@@ -192,6 +196,35 @@ GROUP BY e.name, e.b, e.lower, e.upper"""
 
 
 oracle("histogram30", f"WITH {LINES}, " + histogram_sql("lines", LINE_NUMBERS, 30, "column", 4))
+
+
+def _wide(i: int) -> str:
+    return (f"CASE WHEN l_partkey % {i + 5} <> 0 THEN {i % 7}.0::DOUBLE * l_quantity + {(i % 5 - 2) / 1000}::DOUBLE * l_extendedprice"
+            f" + {100 * (i % 3)}.0::DOUBLE * l_discount + {50 * (i % 4 - 1)}.0::DOUBLE * l_tax + l_partkey % {i + 3} END AS w{i}")
+
+
+oracle("correlation_wide", f"""
+WITH wide AS (SELECT {', '.join(_wide(i) for i in range(48))} FROM lineitem),
+pairs AS (SELECT {', '.join(f'corr(w{i}, w{j}) AS r{i}_{j}' for i in range(48) for j in range(i, 48))} FROM wide),
+cells AS (SELECT unnest([{', '.join(f"{{'a': 'w{i}', 'b': 'w{j}', 'r': r{i}_{j}}}" for i in range(48) for j in range(i, 48))}]) AS c
+          FROM pairs)
+SELECT c.a AS column_a, c.b AS column_b, {dbl('c.r')} AS correlation FROM cells
+UNION ALL SELECT c.b, c.a, {dbl('c.r')} FROM cells WHERE c.a <> c.b""")
+
+oracle("category_dictionary", f"""
+WITH {LINES}, train AS (SELECT * FROM lines WHERE l_partkey % 3 <> 0),
+orders_known AS (
+  SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot FROM (SELECT DISTINCT l_orderkey::VARCHAR AS v FROM train)),
+statuses AS (
+  SELECT l_linestatus AS v, count(*) AS n, row_number() OVER (ORDER BY l_linestatus) - 1 AS slot
+  FROM train WHERE l_linestatus IS NOT NULL GROUP BY 1),
+sizes AS (SELECT (SELECT count(*) FROM orders_known) AS orders, (SELECT count(*) FROM statuses) AS kinds,
+  (SELECT v FROM statuses ORDER BY n DESC, v LIMIT 1) AS mode, (SELECT median(l_quantity) FROM train) AS middle)
+SELECT {LINE_KEYS}, 1 + orders + kinds AS n_features, {dbl('coalesce(l_quantity, middle)', 4)} AS quantity,
+  concat_ws(',', '0', (1 + o.slot)::VARCHAR, (1 + orders + s.slot)::VARCHAR) AS slots
+FROM lines, sizes LEFT JOIN orders_known o ON o.v = l_orderkey::VARCHAR
+LEFT JOIN statuses s ON s.v = coalesce(l_linestatus, mode)""")
+
 oracle("correlation", f"WITH {LINES} " + " UNION ALL ".join(
     f"SELECT '{a}' AS column_a, '{b}' AS column_b, {dbl(f'corr({a}, {b})')} AS correlation FROM lines"
     for a in LINE_NUMBERS for b in LINE_NUMBERS))

@@ -80,6 +80,13 @@ def duplicate_count(spark, d):
     return plain(quality.duplicate_count(views.lines_nulled(spark, d).select(*DUPLICATE_COLUMNS)))
 
 
+@query
+def duplicate_count_wide(spark, d):
+    """Whole line items, of which every seventh order comes twice."""
+    lines = views.table(spark, d, "lineitem")
+    return plain(quality.duplicate_count(lines.union(lines.where(F.col("l_orderkey") % 7 == 0))))
+
+
 @query
 def target_distribution(spark, d):
     return plain(quality.target_distribution(views.docs(spark, d), "quality"))
@@ -175,6 +182,27 @@ def correlation(spark, d):
     return plain(profile.correlation(views.lines_nulled(spark, d), LINE_NUMBERS))
 
 
+WIDE_COLUMNS = 48
+
+
+def _wide_terms(i):
+    """Factors of quantity, price, discount and tax, and two moduli of the part key, for the i-th wide column."""
+    return i % 7, (i % 5 - 2) / 1000, 100 * (i % 3), 50 * (i % 4 - 1), i + 3, i + 5
+
+
+@query
+def correlation_wide(spark, d):
+    """All pairs of many columns with gaps, from one scan of blocked cross products."""
+    columns = []
+    for i in range(WIDE_COLUMNS):
+        q, p, r, t, mod, gap = _wide_terms(i)
+        value = (F.lit(float(q)) * F.col("l_quantity") + F.lit(p) * F.col("l_extendedprice")
+                 + F.lit(float(r)) * F.col("l_discount") + F.lit(float(t)) * F.col("l_tax") + F.col("l_partkey") % mod)
+        columns.append(F.when(F.col("l_partkey") % gap != 0, value).alias(f"w{i}"))
+    wide = views.table(spark, d, "lineitem").select(*columns)
+    return plain(profile.correlation(wide, wide.columns))
+
+
 # Projection, split, sampling
 
 
@@ -307,6 +335,18 @@ def feature_map(spark, d):
     return plain(fitted.feature_map(spark))
 
 
+@query
+def category_dictionary(spark, d):
+    """Orders as a category: a dictionary table instead of lists, and sparse vectors from its slots."""
+    lines = views.lines_nulled(spark, d)
+    fitted = prep.fit_preprocessor(
+        lines.where(F.col("l_partkey") % 3 != 0), ["l_quantity"], ["l_orderkey", "l_linestatus"],
+        prep.PreprocessingConfig(listed_categories=1000), prep.TREE)
+    return plain(fitted.sparse(lines).select(
+        *LINE_KEYS, F.col("features.size").alias("n_features"), F.element_at("features.values", 1).alias("quantity"),
+        F.array_join(F.col("features.indices").cast("array<string>"), ",").alias("slots")), 4)
+
+
 # Class weights
 
 
