@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import checked_label, checked_score, safe_ratio
 from riskframe.functions.local import local_table
 from riskframe.functions.running import bucket_edges, running_totals
+from riskframe.session import written
 
 # Fixed value: the machine epsilon of a double, the clip of the log loss.
 EPSILON = 2.220446049250313e-16
@@ -53,14 +54,17 @@ def score_counts(
     df: DataFrame, label: str, proba: str, group_cols: Sequence[str] = (),
     pred: str | None = None, threshold: float = 0.5,
 ) -> DataFrame:
-    """(groups, score, pos, neg, tp, fp, tn, fn): one row per distinct score."""
+    """(groups, score, pos, neg, tp, fp, tn, fn): one row per distinct score.
+
+    They are written to the shared folder, so scores are computed and grouped once for edges, ranks and totals.
+    """
     score = checked_score(proba)
     decided = checked_label(pred) if pred else (score >= F.lit(threshold)).cast("int")
     base = df.select(*group_cols, score.alias("score"), checked_label(label).alias("y"), decided.alias("p"))
-    return base.groupBy(*group_cols, "score").agg(
+    return written(base.groupBy(*group_cols, "score").agg(
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"),
         *[F.sum(c).alias(n) for n, c in _confusion_terms().items()],
-    )
+    ), "score-counts")
 
 
 def ranked_scores(counts: DataFrame, group_cols: Sequence[str] = (), lead: bool = False,

@@ -4,21 +4,23 @@ Rows are ordered by a hash of the row key and a seed. A part is a range of that
 order, so a part is found from a few cut rows per class: one histogram over hash
 prefixes, one ranking of the rows around each cut, and then a plain comparison
 per row. The wide rows are never shuffled, sizes are exact, and the result does
-not depend on how the input is partitioned.
+not depend on how the input is partitioned. Keys and hashes are held meanwhile, so
+the input is read once to find the cuts.
 """
 
 from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.errors import AmbiguousKeyError
-from riskframe.functions.columns import order_hash, quoted
+from riskframe.functions.columns import kept, order_hash, quoted
 
 logger = logging.getLogger(__name__)
 
@@ -39,14 +41,31 @@ def feature_projection(df: DataFrame, target: str, excluded: Sequence[str] = ())
     return df.drop(*gone).withColumnRenamed(target, "label")
 
 
-def class_counts(df: DataFrame, label: str, limit: int | None = None) -> dict[Any, int]:
-    """Rows per class in class order; a missing label is a class of its own.
+@contextmanager
+def ordered_rows(df: DataFrame, label: str | None, keys: Sequence[str], seed: int) -> Iterator[DataFrame]:
+    """(stratum, hash, key) of each row, held while a split is found: the input is read once for all of its passes."""
+    if not keys:
+        raise AmbiguousKeyError("a row key is needed")
+    with kept(df.select(
+            _stratum(label).alias("stratum"), order_hash(keys, seed).alias("hash"),
+            F.struct(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"))) as rows:
+        yield rows
+
 
-    With ``limit`` at most so many classes are counted.
+def class_counts(rows: DataFrame, keys: Sequence[str], limit: int | None = None) -> dict[Any, int]:
+    """Ordered rows per class, in class order; a missing label is a class of its own.
+
+    Raises if two rows share a key, wherever they lie. With ``limit`` at most so many classes are counted.
     """
-    groups = df.groupBy(F.col(quoted(label)).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    rows = (groups if limit is None else groups.limit(limit)).collect()
-    return {r["c"]: r["n"] for r in sorted(rows, key=lambda r: (r["c"] is not None, r["c"]))}
+    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("stratum").alias("c")).groupBy("c").agg(
+        F.sum("n").alias("n"), F.max("n").alias("copies"))
+    if limit is not None:
+        # Ordered by copies, so that a repeated key is seen whatever the limit leaves out.
+        groups = groups.orderBy(F.desc("copies")).limit(limit)
+    found = groups.collect()
+    if any(r["copies"] > 1 for r in found):
+        raise AmbiguousKeyError(f"the key {list(keys)} repeats; it must identify rows")
+    return {r["c"]: r["n"] for r in sorted(found, key=lambda r: (r["c"] is not None, r["c"]))}
 
 
 def largest_remainder(counts: dict[Any, int], draw: int) -> dict[Any, int]:
@@ -80,25 +99,12 @@ def _any(conditions: Sequence[Column]) -> Column:
     return found
 
 
-def refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raises if two rows share a key, wherever they lie."""
-    counts = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    if not counts.where("__n > 1").isEmpty():
-        raise AmbiguousKeyError(f"the key {list(keys)} repeats; it must identify rows")
-
-
-def _cut_rows(
-    df: DataFrame, label: str | None, keys: Sequence[str], seed: int,
-    ranks: dict[Any, list[int]], ranked_rows: int,
-) -> dict[tuple[Any, int], tuple]:
+def _cut_rows(base: DataFrame, ranks: dict[Any, list[int]], ranked_rows: int) -> dict[tuple[Any, int], tuple]:
     """The order values of the rows at the given 1-based ranks of each class.
 
     A histogram over hash prefixes finds the bucket of each cut. Prefixes grow until the
     bucket holds few enough rows to be ranked, so no task ranks more than that.
     """
-    base = df.select(
-        _stratum(label).alias("stratum"), order_hash(keys, seed).alias("hash"),
-        F.struct(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"))
     place = {(c, r): ("", r) for c, wanted in ranks.items() for r in wanted}
     digits, full = 0, {(c, "") for c, _ in place}
     while full and digits < HASH_DIGITS:
@@ -138,16 +144,13 @@ def _cut_rows(
 
 
 def range_index(
-    df: DataFrame, label: str | None, keys: Sequence[str], seed: int,
+    df: DataFrame, rows: DataFrame, label: str | None, keys: Sequence[str], seed: int,
     counts: dict[Any, int], sizes: dict[Any, list[int]], ranked_rows: int = RANKED_ROWS,
 ) -> Column:
-    """Index of the range a row falls in when each class is cut into ``sizes`` along the order.
+    """Index of the range a row of ``df`` falls in when each class is cut into ``sizes`` along the order.
 
-    The last range of a class takes the rows after all cuts.
+    The last range of a class takes the rows after all cuts. ``rows`` are the ordered rows of ``df``.
     """
-    if not keys:
-        raise AmbiguousKeyError("a row key is needed")
-    refuse_repeated_keys(df, keys)
     bounds = {}
     for c, parts in sizes.items():
         ends, total = [], 0
@@ -158,7 +161,7 @@ def range_index(
     ranks = {c: sorted({e for e in ends if 0 < e < counts[c]}) for c, ends in bounds.items()}
     cuts = {}
     if any(ranks.values()):
-        cuts = _cut_rows(df, label, keys, seed, ranks, ranked_rows)
+        cuts = _cut_rows(rows, ranks, ranked_rows)
 
     here = order_hash(keys, seed)
     key = F.struct(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)])
@@ -199,33 +202,30 @@ def assign_parts(
     the largest remainder of the rows that stay. A target of more than ``max_strata``
     values is not stratified.
     """
-    strata: str | None = None
-    counts: dict[Any, int] = {}
-    if stratify:
+    with ordered_rows(df, label if stratify else None, keys, seed) as rows:
         # A few more classes than allowed are enough to see that there are too many.
-        counts = class_counts(df, label, limit=max_strata + 2)
+        counts = class_counts(rows, keys, max_strata + 2)
         distinct = len([c for c in counts if c is not None])
-        if 1 < distinct <= max_strata:
-            strata = label
-        else:
+        strata = label if stratify and 1 < distinct <= max_strata else None
+        if stratify and not strata:
             logger.warning("the target has %s unique values; the split is not stratified",
                            distinct if distinct <= max_strata else f"more than {max_strata}")
-    if strata is None:
-        counts = {0: df.count()}
-
-    total = sum(counts.values())
-    names = ["test"] + (["validation"] if validation_size else [])
-    sizes: dict[Any, list[int]] = {c: [] for c in counts}
-    left = dict(counts)
-    for fraction in [test_size] + ([validation_size] if validation_size else []):
-        drawn = math.ceil(fraction * total - 1e-9)
-        stay = largest_remainder(left, sum(left.values()) - drawn)
+        if not strata:
+            rows, counts = rows.withColumn("stratum", F.lit(0)), {0: rows.count()}
+
+        total = sum(counts.values())
+        names = ["test"] + (["validation"] if validation_size else [])
+        sizes: dict[Any, list[int]] = {c: [] for c in counts}
+        left = dict(counts)
+        for fraction in [test_size] + ([validation_size] if validation_size else []):
+            drawn = math.ceil(fraction * total - 1e-9)
+            stay = largest_remainder(left, sum(left.values()) - drawn)
+            for c in counts:
+                sizes[c].append(left[c] - stay[c])
+            left = stay
         for c in counts:
-            sizes[c].append(left[c] - stay[c])
-        left = stay
-    for c in counts:
-        sizes[c].append(left[c])
-    index = range_index(df, strata, keys, seed, counts, sizes, ranked_rows)
+            sizes[c].append(left[c])
+        index = range_index(df, rows, strata, keys, seed, counts, sizes, ranked_rows)
     labels = F.array(*[F.lit(n) for n in [*names, "train"]])
     return df.withColumn("part", F.element_at(labels, index + 1))
 
@@ -251,25 +251,28 @@ def assign_folds(df: DataFrame, label: str, keys: Sequence[str], k: int = 5, see
 
     A label of more than ``max_classes`` values is refused: it is no class label.
     """
-    counts = class_counts(df, label, limit=max_classes + 2)
-    if len([c for c in counts if c is not None]) > max_classes:
-        raise ValueError(f"the column {label!r} has more than {max_classes} classes")
-    smallest = min(counts.values(), default=0)
-    if max(counts.values(), default=0) < k:
-        raise ValueError(f"{k} folds need at least {k} rows in some class")
-    if smallest < k:
-        logger.warning("the smallest class has %s rows for %s folds", smallest, k)
-    index = range_index(df, label, keys, seed, counts, fold_sizes(counts, k), ranked_rows)
+    with ordered_rows(df, label, keys, seed) as rows:
+        counts = class_counts(rows, keys, max_classes + 2)
+        if len([c for c in counts if c is not None]) > max_classes:
+            raise ValueError(f"the column {label!r} has more than {max_classes} classes")
+        smallest = min(counts.values(), default=0)
+        if max(counts.values(), default=0) < k:
+            raise ValueError(f"{k} folds need at least {k} rows in some class")
+        if smallest < k:
+            logger.warning("the smallest class has %s rows for %s folds", smallest, k)
+        index = range_index(df, rows, label, keys, seed, counts, fold_sizes(counts, k), ranked_rows)
     return df.withColumn("fold", index)
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42,
                 ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), the same for the same key and seed."""
-    total = df.count()
-    if total <= n:
-        return df
-    index = range_index(df, None, keys, seed, {0: total}, {0: [n, total - n]}, ranked_rows)
+    with ordered_rows(df, None, keys, seed) as rows:
+        counts = class_counts(rows, keys)
+        total = counts.get(0, 0)
+        if total <= n:
+            return df
+        index = range_index(df, rows, None, keys, seed, counts, {0: [n, total - n]}, ranked_rows)
     return df.where(index == 0)
 
 
