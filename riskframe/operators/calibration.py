@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from riskframe.config import CALIBRATION_METHODS, CALIBRATION_STRATEGIES, CalibrationConfig
 from riskframe.errors import CalibrationError
 from riskframe.functions.columns import checked_label, checked_score, quoted, to_long
+from riskframe.operators.isotonic import pooled_blocks
 from riskframe.operators.metrics import METRICS, classification_metrics
 from riskframe.operators.models import (
     LABEL, SCORE, FittedModel, ModelPlan, fit_folds, in_threads,
@@ -67,7 +68,11 @@ def fit_sigmoid(df: DataFrame, signal: str, label: str = LABEL):
     return model
 
 
-def fit_isotonic(df: DataFrame, signal: str, label: str = LABEL):
+#: Distinct scores from which they are pooled by ranges; Spark's own fit merges all pools on the driver.
+POOLED_ABOVE = 200_000
+
+
+def fit_isotonic(df: DataFrame, signal: str, label: str = LABEL, pooled_above: int = POOLED_ABOVE):
     """Isotonic regression on distinct scores weighted by their rows.
 
     It interpolates between scores and clamps outside of them.
@@ -75,13 +80,24 @@ def fit_isotonic(df: DataFrame, signal: str, label: str = LABEL):
     y = checked_label(label)
     summed = df.select(F.col(quoted(signal)).alias(SIGNAL), y.cast("double").alias("y")).groupBy(SIGNAL).agg(
         F.avg("y").alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
-    row = summed.agg(F.min("y").alias("lo"), F.max("y").alias("hi")).first()
+    row = summed.agg(F.min("y").alias("lo"), F.max("y").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if row["lo"] is None or row["hi"] == 0.0 or row["lo"] == 1.0:
         raise CalibrationError("the calibration rows hold a single class")
+    if row["n"] > pooled_above:
+        # The ends of the pooled blocks carry the fit; they are what the model holds.
+        blocks = pooled_blocks(summed.select(_first(SIGNAL).alias("score"), "y", "w"))
+        point = F.struct(F.col("lo").alias("at"), "y", (F.col("w") / 2).alias("w"))
+        other = F.struct(F.col("hi").alias("at"), "y", (F.col("w") / 2).alias("w"))
+        summed = blocks.select(F.explode(F.array_distinct(F.array(point, other))).alias("p")).select(
+            F.col("p.at").alias(SIGNAL), "p.y", "p.w")
     return IsotonicRegression(featuresCol=SIGNAL, labelCol="y", weightCol="w",
                               predictionCol=ISOTONIC_OUT).fit(summed)
 
 
+def _first(signal: str) -> Column:
+    return vector_to_array(signal)[0]
+
+
 def fit_score_calibrator(df: DataFrame, proba: str, method: str = "sigmoid", label: str = LABEL) -> PipelineModel:
     """A calibrator for a plain score column."""
     if method not in CALIBRATION_METHODS:

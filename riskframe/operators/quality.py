@@ -189,7 +189,7 @@ class QualityReport:
         return {c: n / self.n_rows for c, n in self.missing.items()}
 
     def document(self) -> dict[str, Any]:
-        """The report without the target's value counts, which stay a table."""
+        """The report, with the counts of the most frequent target values."""
         return {
             "n_rows": self.n_rows,
             "n_columns": self.n_columns,
@@ -198,6 +198,9 @@ class QualityReport:
             "missing_fraction": self.missing_fraction,
             "numerical_columns": self.numerical_columns,
             "categorical_columns": self.categorical_columns,
+            # As many as a warning would name; all of them are in the table.
+            "target_counts": {str(r["target"]): r["n"] for r in self.target_distribution.orderBy(
+                F.desc("n"), "target").limit(LISTED_VALUES).collect()},
             "warnings": self.warnings,
             "errors": self.errors,
         }

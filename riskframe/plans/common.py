@@ -18,13 +18,20 @@ from riskframe.sources.tables import load_table
 logger = logging.getLogger(__name__)
 
 
+def read_input(spark: SparkSession, config: Config, **options: str) -> DataFrame:
+    return load_table(spark, config.data.data_path, config.data.data_format, **options)
+
+
+def check(df: DataFrame, config: Config) -> QualityReport:
+    data = config.data
+    return quality_report(df, data.target_column, data.valid_target_values, data.duplicate_check,
+                          data.missing_value_threshold)
+
+
 def load_and_check(spark: SparkSession, config: Config, **options: str) -> tuple[DataFrame, QualityReport]:
     """The input table and its quality report."""
-    data = config.data
-    df = load_table(spark, data.data_path, data.data_format, **options)
-    report = quality_report(df, data.target_column, data.valid_target_values, data.duplicate_check,
-                            data.missing_value_threshold)
-    return df, report
+    df = read_input(spark, config, **options)
+    return df, check(df, config)
 
 
 def gate(report: QualityReport) -> None:

@@ -106,8 +106,53 @@ UNION ALL SELECT 'missing_count', "column", CAST(missing_count AS VARCHAR),
 UNION ALL SELECT CASE WHEN c IN ('lang', 'source') THEN 'categorical_column' ELSE 'numerical_column' END, c, NULL, 'info'
           FROM (SELECT unnest(['doc_id', 'n_chars', 'letter_share', 'distinct_share', 'lang', 'source', 'toxic']) AS c)
 UNION ALL SELECT 'target_count', CAST(quality AS VARCHAR), CAST(count(*) AS VARCHAR), 'info' FROM docs GROUP BY quality
+UNION ALL SELECT 'warning', NULL, printf('The target has %d missing values (%.2f%%); these rows cannot be used for training.',
+            missing_count, 100.0 * missing_count / n_rows), 'warning'
+          FROM missing WHERE "column" = 'quality' AND missing_count > 0
+UNION ALL SELECT 'warning', NULL, printf('Found %d duplicate rows.', sum(n - 1)::BIGINT), 'warning'
+          FROM (SELECT count(*) AS n FROM docs GROUP BY ALL) HAVING sum(n - 1) > 0
+UNION ALL SELECT 'warning', NULL, 'Columns with a share of missing values above 0.5: ['
+            || string_agg('''' || "column" || '''', ', ' ORDER BY position) || ']', 'warning'
+          FROM (SELECT *, list_position(['doc_id', 'n_chars', 'letter_share', 'distinct_share', 'lang', 'source', 'quality', 'toxic'],
+                "column") AS position FROM missing WHERE missing_count / n_rows > 0.5) HAVING count(*) > 0
 """.replace("SELECT count(*) AS n FROM docs GROUP BY ALL",
             "SELECT count(*) AS n FROM docs GROUP BY " + ", ".join(_DOC_COLUMNS)))
+_FILE_COLUMNS = (("doc_id", "bigint"), ("n_chars", "double"), ("letter_share", "double"), ("distinct_share", "double"),
+                 ("lang", "string"), ("source", "string"), ("quality", "bigint"))
+oracle("profile_workflow", f"""
+WITH {DOCS},
+gaps AS ({" UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS name, '{t}' AS dtype, count(*) - count({c}) AS missing, count(*) AS n FROM docs"
+                             for i, (c, t) in enumerate(_FILE_COLUMNS))}),
+report("check", "column", value, severity) AS (
+  SELECT 'n_rows', NULL, count(*)::VARCHAR, 'info' FROM docs
+  UNION ALL SELECT 'n_columns', NULL, '7', 'info'
+  UNION ALL SELECT 'duplicate_rows', NULL, sum(n - 1)::VARCHAR, CASE WHEN sum(n - 1) > 0 THEN 'warning' ELSE 'info' END
+            FROM (SELECT count(*) AS n FROM docs GROUP BY {", ".join(c for c, _ in _FILE_COLUMNS)})
+  UNION ALL SELECT 'missing_count', name, missing::VARCHAR, CASE WHEN missing / n > 0.4 THEN 'warning' ELSE 'info' END FROM gaps
+  UNION ALL SELECT CASE WHEN dtype = 'string' THEN 'categorical_column' ELSE 'numerical_column' END, name, NULL, 'info'
+            FROM gaps WHERE name <> 'quality'
+  UNION ALL SELECT 'target_count', quality::VARCHAR, count(*)::VARCHAR, 'info' FROM docs GROUP BY quality
+  UNION ALL SELECT 'warning', NULL, printf('The target has %d missing values (%.2f%%); these rows cannot be used for training.',
+              missing, 100.0 * missing / n), 'warning' FROM gaps WHERE name = 'quality' AND missing > 0
+  UNION ALL SELECT 'warning', NULL, 'Columns with a share of missing values above 0.4: ['
+              || string_agg('''' || name || '''', ', ' ORDER BY position) || ']', 'warning'
+            FROM gaps WHERE missing / n > 0.4 HAVING count(*) > 0),
+tops AS (
+  SELECT 'lang' AS key, lang AS v, count(*) AS n FROM docs GROUP BY lang
+  UNION ALL SELECT 'source', source, count(*) FROM docs GROUP BY source),
+summary AS (
+  SELECT key, count(v) AS n_unique, arg_min(v, {{'n': -n, 'v': v}}) AS top_value, max(n) AS top_frequency,
+    coalesce(sum(n) FILTER (v IS NULL), 0)::BIGINT AS n_missing FROM tops GROUP BY key),
+found("table", key, name, value) AS (
+  SELECT 'quality_table', "check", unnest(['column', 'value', 'severity']), unnest(["column", value, severity]) FROM report
+  UNION ALL SELECT 'missing_values', name, 'missing_count', missing::VARCHAR FROM gaps WHERE missing > 0
+  UNION ALL SELECT 'overview', name, unnest(['position', 'dtype', 'n_rows', 'n_columns']),
+    unnest([position::VARCHAR, dtype, n::VARCHAR, '7']) FROM gaps
+  UNION ALL SELECT 'categorical_summary', key, unnest(['n_unique', 'top_value', 'top_frequency', 'n_missing']),
+    unnest([n_unique::VARCHAR, top_value, top_frequency::VARCHAR, n_missing::VARCHAR]) FROM summary
+  UNION ALL SELECT 'target_distribution', quality::VARCHAR, 'n', count(*)::VARCHAR FROM docs GROUP BY quality)
+SELECT * FROM found WHERE value IS NOT NULL""")
+
 oracle("schema_typing", "WITH " + LINES + """
 SELECT CAST(c.position AS BIGINT) AS position, c.name AS "column", c.dtype, (SELECT count(*) FROM lines) AS n_rows,
        CAST(10 AS BIGINT) AS n_columns, c.kind
@@ -478,6 +523,25 @@ spans AS (SELECT a.i AS j, b.i AS k, (b.cy - a.cy + a.y) / (b.cn - a.cn + a.n) A
 lowest AS (SELECT j, k AS i, min(mean) OVER (PARTITION BY j ORDER BY k DESC) AS m FROM spans),
 fit AS (SELECT i, max(m) AS v FROM lowest GROUP BY i)
 SELECT round(p0, 6) AS p0, n, {dbl('v')} AS p_calibrated FROM c JOIN fit USING (i)""")
+oracle("isotonic_ranges", f"""
+WITH RECURSIVE summed AS (
+  SELECT l_extendedprice AS score, avg(CAST(l_quantity > 25 AS INT)) AS y, count(*)::DOUBLE AS w FROM lineitem GROUP BY 1),
+ordered AS (SELECT row_number() OVER (ORDER BY score) AS i, score, y, w FROM summed),
+-- The lower convex hull of the cumulated labels: its slopes are the fit.
+sums AS (
+  SELECT i, score, sum(w) OVER (ORDER BY i) AS x, sum(y * w) OVER (ORDER BY i) AS s FROM ordered
+  UNION ALL SELECT 0, NULL, 0, 0),
+hull AS (
+  SELECT 0::BIGINT AS i, 0::DOUBLE AS x, 0::DOUBLE AS s, NULL::DOUBLE AS y
+  UNION ALL
+  SELECT n.best.i, n.best.x, n.best.s, n.best.slope FROM (
+    SELECT arg_min({{'i': p.i, 'x': p.x, 's': p.s, 'slope': (p.s - h.s) / (p.x - h.x)}},
+      {{'a': round((p.s - h.s) / (p.x - h.x), 12), 'b': -p.i}}) AS best
+    FROM hull h JOIN sums p ON p.i > h.i GROUP BY h.i) n),
+blocks AS (SELECT y, i, x - lag(x) OVER (ORDER BY i) AS w, lag(i) OVER (ORDER BY i) + 1 AS first FROM hull)
+SELECT {dbl('a.score', 5)} AS lo, {dbl('b.score', 5)} AS hi, {dbl('k.y', 5)} AS y, {dbl('k.w', 5)} AS w
+FROM blocks k JOIN ordered a ON a.i = k.first JOIN ordered b ON b.i = k.i""")
+
 oracle("platt_gradient", f"""WITH {SCORED}
 SELECT CAST(0 AS DOUBLE) AS intercept_gradient, CAST(0 AS DOUBLE) AS slope_gradient, count(*) AS n FROM scored""")
 

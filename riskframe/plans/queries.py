@@ -15,8 +15,9 @@ from riskframe.functions.local import local_table
 from riskframe.operators import (
     attribution, bundle, calibration, metrics, models, prep, profile, quality, scoring, split, threshold, tuning,
 )
+from riskframe.operators.isotonic import pooled_blocks
 from riskframe.operators.prep import FEATURES
-from riskframe.plans import package_job
+from riskframe.plans import package_job, profile_job
 from riskframe.session import scratch_path
 from riskframe.sources import tables, views
 from riskframe.streaming import scoring as stream
@@ -104,8 +105,7 @@ def target_check_whitelist(spark, d):
 
 @query
 def quality_report(spark, d):
-    report = quality.quality_report(views.docs(spark, d), "quality")
-    return report.table().where(~F.col("check").isin("warning", "error"))
+    return quality.quality_report(views.docs(spark, d), "quality").table()
 
 
 @query
@@ -153,6 +153,28 @@ def unseen_categories(spark, d):
         parts.where("part = 'train'"), parts.where("part = 'test'"), ["lang", "origin"])
 
 
+@query
+def profile_workflow(spark, d):
+    """The first workflow from a CSV file on: its written tables as rows of (table, key, name, value)."""
+    folder = scratch_path(spark, "profile")
+    views.docs(spark, d).drop("toxic").write.option("header", True).csv(f"{folder}/input")
+    config = Config()
+    config.data.data_path, config.data.target_column = f"{folder}/input", "quality"
+    profile_job.run(spark, config, f"{folder}/out")
+
+    def rows(name, key, columns):
+        table = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/out/{name}")
+        return table.select(F.lit(name).alias("table"), F.col(key).alias("key"), F.posexplode(F.array(
+            *[F.col(c).cast("string") for c in columns])).alias("place", "value")).select(
+            "table", "key", F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place") + 1).alias("name"), "value")
+
+    return (rows("quality_table", "check", ["column", "value", "severity"])
+            .union(rows("missing_values", "column", ["missing_count"]))
+            .union(rows("overview", "column", ["position", "dtype", "n_rows", "n_columns"]))
+            .union(rows("categorical_summary", "column", ["n_unique", "top_value", "top_frequency", "n_missing"]))
+            .union(rows("target_distribution", "target", ["n"])).where("value is not null"))
+
+
 # Profiling
 
 
@@ -503,6 +525,15 @@ def isotonic(spark, d):
     return plain(calibration.calibrate_scores(fitted, scores))
 
 
+@query
+def isotonic_ranges(spark, d):
+    """The fit of many distinct scores, pooled by ranges: its blocks."""
+    scores = views.table(spark, d, "lineitem").select(
+        F.col("l_extendedprice").alias("score"), (F.col("l_quantity") > 25).cast("int").alias("label"))
+    summed = scores.groupBy("score").agg(F.avg("label").alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
+    return plain(pooled_blocks(summed).drop("part"), 5)
+
+
 @query
 def platt(spark, d):
     """Distinct scores with their sigmoid fit."""
