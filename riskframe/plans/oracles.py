@@ -560,3 +560,47 @@ oracle("oof_coverage", f"""WITH {_TRAIN}, slim AS (SELECT doc_id, label FROM tra
 SELECT doc_id, CAST(fold AS BIGINT) AS fold, CAST(label AS BIGINT) AS label, CAST(1 AS BIGINT) AS scored FROM folded""")
 for _name in ("shap_additivity", "stream_parity", "reload_parity"):
     oracle(_name, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_apart FROM documents")
+
+_PLATT_STEP = "1 / (1 + exp(-(a * x + b)))"
+oracle("platt", f"""WITH RECURSIVE {SCORED},
+grouped AS (SELECT p0 AS x, sum(label)::DOUBLE AS pos, (count(*) - sum(label))::DOUBLE AS neg FROM scored GROUP BY p0),
+totals AS (SELECT sum(pos) AS P, sum(neg) AS N FROM grouped),
+points AS (SELECT x, pos + neg AS n, pos * (P + 1) / (P + 2) + neg / (N + 2) AS k FROM grouped, totals),
+newton AS (
+  SELECT 0 AS step, 0::DOUBLE AS a, 0::DOUBLE AS b
+  UNION ALL
+  SELECT step + 1, a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b + (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (
+    SELECT step, a, b, sum(x * (k - n * p)) AS ga, sum(k - n * p) AS gb, sum(n * p * (1 - p) * x * x) AS haa,
+      sum(n * p * (1 - p) * x) AS hab, sum(n * p * (1 - p)) AS hbb
+    FROM (SELECT step, a, b, x, k, n, {_PLATT_STEP} AS p FROM newton, points WHERE step < 20) GROUP BY step, a, b))
+SELECT {dbl('x')} AS p0, (pos + neg)::BIGINT AS n, {dbl(_PLATT_STEP)} AS p_calibrated
+FROM grouped, (SELECT a, b FROM newton ORDER BY step DESC LIMIT 1)""")
+
+_TEST = _TRAIN.replace("p.part = 'train'", "p.part = 'test'").replace("train AS (", "test AS (")
+oracle("holdout_rows", f"""WITH {_TRAIN}, slim AS (SELECT doc_id, label FROM train),
+{split_ctes('slim', 'label', 'doc_id', 0.25, 'held')}
+SELECT doc_id, label::BIGINT AS label, 0::BIGINT AS unscored FROM held WHERE part = 'test'""")
+oracle("cv_recounted", f"""WITH {_TRAIN}, slim AS (SELECT doc_id, label FROM train),
+{fold_ctes('slim', 'label', 'doc_id', 3).replace('GROUP BY ALL', 'GROUP BY r.doc_id, r.label')}
+SELECT fold::BIGINT AS fold, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+  0::BIGINT AS area_apart, 0::BIGINT AS brier_apart FROM folded GROUP BY fold""")
+oracle("search_recounted", f"""WITH {_TRAIN}
+SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives, 3::BIGINT AS n_candidates,
+  3::BIGINT AS n_distinct, 0::BIGINT AS better, 0::BIGINT AS score_apart FROM train""")
+oracle("final_test_recounted", f"""WITH {_TEST}
+SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives, 0::BIGINT AS counts_apart,
+  0::BIGINT AS area_apart, 0::BIGINT AS brier_apart FROM test""")
+for _name in ("score_batch_rows", "score_stream_rows"):
+    oracle(_name, """
+SELECT doc_id, 'v1' AS model_version, 0::BIGINT AS decision_apart, 0::BIGINT AS label_apart FROM documents""")
+for _name in ("explained_rows", "explained_stream_rows"):
+    oracle(_name, """
+SELECT doc_id, unnest(range(1, 4)) AS rank, 0::BIGINT AS unordered, 0::BIGINT AS sign_apart, 0::BIGINT AS value_apart
+FROM documents""")
+oracle("importance_recounted", f"""
+SELECT unnest(['n_chars', 'letter_share', 'distinct_share', 'lang', 'source']) AS feature, 0::BIGINT AS apart
+FROM (SELECT count(*) FROM documents)""")
+oracle("calibrated_rows", """
+SELECT unnest(['sigmoid', 'isotonic']) AS method, n, 0::BIGINT AS n_falling, 0::BIGINT AS n_outside
+FROM (SELECT count(*) AS n FROM documents)""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -829,3 +829,164 @@ def model_registry(spark, d):
         F.count(F.lit(1)).alias("n_documents"), F.count("quality").alias("n_labelled"),
         *[F.count_if(F.col("quality") == c).alias(f"n_class_{c}") for c in (0, 1)])
     return plain(entry.crossJoin(F.broadcast(counts)))
+
+
+# What SQL can state of fitted models: whose rows they see and score, and that their results agree with definitions.
+# Each flag is computed another way than the operator computes it, and is 0 where both agree.
+
+
+def _apart(one, other, tolerance=1e-9):
+    both = F.abs(one - other) > tolerance
+    return F.coalesce(both, (one.isNull() != other.isNull())).cast("bigint")
+
+
+@query
+def holdout_rows(spark, d):
+    """The rows that a hold-out scores, with their labels."""
+    train, _ = _training(spark, d)
+    rows = models.validation_scores(
+        _plan("logistic_regression"), train, DOC_KEYS, strategy="holdout", holdout_size=0.25)
+    return rows.select("doc_id", F.col("label").cast("bigint").alias("label"),
+                       (~F.col("p").between(0, 1)).cast("bigint").alias("unscored"))
+
+
+def _rank_metrics(rows, group):
+    """ROC area by mean ranks and Brier score of ``label, p`` per group."""
+    ranks = Window.partitionBy(*group).orderBy("p")
+    ties = Window.partitionBy(*group, "p")
+    ranked = rows.withColumn("mean_rank", F.rank().over(ranks) + (F.count(F.lit(1)).over(ties) - 1) / 2)
+    one = F.col("label") == 1
+    sums = ranked.groupBy(*group).agg(
+        F.count_if(one).alias("positives"), F.count_if(~one).alias("negatives"),
+        F.sum(F.when(one, F.col("mean_rank"))).alias("ranks"), F.avg(F.pow(F.col("p") - F.col("label"), 2)).alias("brier"))
+    P, N = F.col("positives"), F.col("negatives")
+    return sums.select(*group, "positives", "negatives", ((F.col("ranks") - P * (P + 1) / 2) / (P * N)).alias("area"), "brier")
+
+
+@query
+def cv_recounted(spark, d):
+    """Fold metrics of a boosted model against mean ranks and squares of its out-of-fold rows."""
+    train, _ = _training(spark, d)
+    result = models.cross_validate(_plan("boosted_trees"), train, DOC_KEYS, CVConfig(n_splits=3))
+    own = _rank_metrics(result.oof, ["fold"])
+    joined = own.join(result.fold_metrics.select("fold", "roc_auc", "brier_score"), "fold")
+    return joined.select(
+        F.col("fold").cast("bigint").alias("fold"), "positives", "negatives",
+        _apart(F.col("area"), F.col("roc_auc")).alias("area_apart"), _apart(F.col("brier"), F.col("brier_score")).alias("brier_apart"))
+
+
+@query
+def search_recounted(spark, d):
+    """The winner's out-of-fold rows give the score that a random search reports; ranks follow the scores."""
+    train, _ = _training(spark, d)
+    config = TuningConfig(n_iter=3, n_splits=3, param_distributions=SEARCH_SPACE)
+    result = tuning.random_search(_plan("boosted_trees"), train, DOC_KEYS, config)
+    folds = split.assign_folds(train, "label", DOC_KEYS, 3, config.random_state).select("doc_id", "fold")
+    own = _rank_metrics(result.oof.join(folds, "doc_id"), ["fold"]).agg(
+        F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"), F.avg("area").alias("area"))
+    better = F.count_if(F.col("mean_test_score") > result.best_score).alias("better")
+    table = result.cv_results.agg(F.count(F.lit(1)).alias("n_candidates"), better, F.count_distinct("params").alias("n_distinct"))
+    return own.join(F.broadcast(table), F.lit(True)).select(
+        "positives", "negatives", "n_candidates", "n_distinct", "better",
+        _apart(F.col("area"), F.lit(result.best_score)).alias("score_apart"))
+
+
+@query
+def final_test_recounted(spark, d):
+    """The saved model's test metrics against counts of its decided rows."""
+    _, test = _training(spark, d)
+    loaded, _ = _bundle(spark, d)
+    with kept(loaded.predict(test)) as decided:
+        found = metrics.classification_metrics(decided, "label", calibration.CALIBRATED, "prediction").first()
+        own = _rank_metrics(decided.withColumn("p", F.col(calibration.CALIBRATED)), [])
+        hit = (F.col(calibration.CALIBRATED) >= loaded.threshold)
+        counts = decided.agg(F.count_if(hit & (F.col("label") == 1)).alias("tp"), F.count_if(hit & (F.col("label") == 0)).alias("fp"))
+        row, n = own.first(), counts.first()
+    apart = [int(n["tp"] != found["tp"] or n["fp"] != found["fp"]), int(abs(row["area"] - found["roc_auc"]) > 1e-9),
+             int(abs(row["brier"] - found["brier_score"]) > 1e-9)]
+    return local_table(spark, [(row["positives"], row["negatives"], *apart)],
+                       "positives bigint, negatives bigint, counts_apart bigint, area_apart bigint, brier_apart bigint")
+
+
+def _score_flags(rows, loaded):
+    low, high = scoring.RISK_LABELS
+    hit = F.col("probability") >= loaded.threshold
+    return rows.select(
+        "doc_id", "model_version", (hit.cast("int") != F.col("prediction")).cast("bigint").alias("decision_apart"),
+        (F.when(hit, high).otherwise(low) != F.col("risk_label")).cast("bigint").alias("label_apart"))
+
+
+@query
+def score_batch_rows(spark, d):
+    """Every document is scored once, decided by the threshold and named by the decision."""
+    loaded, _ = _bundle(spark, d)
+    return _score_flags(scoring.score(_all_docs(spark, d), loaded, DOC_KEYS), loaded)
+
+
+@query
+def score_stream_rows(spark, d):
+    """The same of a stream."""
+    loaded, _ = _bundle(spark, d)
+    return _score_flags(_drained(spark, stream.score_stream(_document_stream(spark, d), loaded, DOC_KEYS), "flagged"), loaded)
+
+
+def _explained_flags(spark, d, rows):
+    """(doc_id, rank) of explained features: signs, order, and input values are checked."""
+    cells = rows.select("doc_id", F.posexplode("top_features").alias("place", "f"))
+    inputs = _all_docs(spark, d)
+    values = inputs.select(F.col("doc_id").alias("__id"), F.map_from_arrays(
+        F.array(*[F.lit(c) for c in DOC_NUMBERS + DOC_CATEGORIES]),
+        F.array(*[F.col(c).cast("string") for c in DOC_NUMBERS + DOC_CATEGORIES])).alias("inputs"))
+    before = F.lag(F.abs("f.impact")).over(Window.partitionBy("doc_id").orderBy("place"))
+    cells = cells.withColumn("unordered", F.coalesce(before < F.abs("f.impact"), F.lit(False)))
+    return cells.join(values, F.col("doc_id") == F.col("__id")).select(
+        "doc_id", (F.col("place") + 1).cast("bigint").alias("rank"), F.col("unordered").cast("bigint").alias("unordered"),
+        ((F.col("f.impact") > 0) != (F.col("f.direction") == "higher_risk")).cast("bigint").alias("sign_apart"),
+        (~F.col("f.value").eqNullSafe(F.col("inputs")[F.col("f.feature")])).cast("bigint").alias("value_apart"))
+
+
+@query
+def explained_rows(spark, d):
+    loaded, _ = _bundle(spark, d)
+    return _explained_flags(spark, d, scoring.explain(_all_docs(spark, d), loaded, DOC_KEYS, top_n=3))
+
+
+@query
+def explained_stream_rows(spark, d):
+    loaded, _ = _bundle(spark, d)
+    return _explained_flags(spark, d, _drained(
+        spark, stream.explain_stream(_document_stream(spark, d), loaded, DOC_KEYS, top_n=3), "flagged"))
+
+
+@query
+def importance_recounted(spark, d):
+    """Global importance of each feature against its definition on the attributions of all rows."""
+    loaded, _ = _bundle(spark, d)
+    explainer = loaded.attributor(spark)
+    docs = _all_docs(spark, d)
+    slots = loaded.raw.prep.feature_map(spark).select("slot", "original")
+    total = F.sum(F.abs("shap")) / docs.count()
+    own = explainer.long(docs, DOC_KEYS).join(F.broadcast(slots), "slot").groupBy("original").agg(total.alias("own"))
+    found = explainer.importance(docs).join(own, F.col("feature") == F.col("original"), "left")
+    return found.select("feature", _apart(F.col("mean_abs_shap"), F.coalesce("own", F.lit(0.0))).alias("apart"))
+
+
+@query
+def calibrated_rows(spark, d):
+    """Calibrated scores of all documents per method: none missing or outside [0, 1], and in the order of the raw scores."""
+    train, _ = _training(spark, d)
+    out = None
+    for name, method in (("boosted_trees", "sigmoid"), ("logistic_regression", "isotonic")):
+        fit = calibration.fit_calibrated(_plan(name), train, DOC_KEYS, CalibrationConfig(method=method))
+        rows = fit.calibrated.score(fit.raw.score(_all_docs(spark, d), "raw"))
+        # Falling steps along the raw score, whose ties are one step.
+        steps = rows.groupBy("raw").agg(F.min(calibration.CALIBRATED).alias("lo"), F.max(calibration.CALIBRATED).alias("hi"),
+                                        F.count(F.lit(1)).alias("n"))
+        buckets = steps.withColumn("bucket", F.floor(F.col("raw") * 16))
+        step = F.lag("hi").over(Window.partitionBy("bucket").orderBy("raw"))
+        flags = buckets.withColumn("falls", F.coalesce(step > F.col("lo") + 1e-12, F.lit(False))).agg(
+            F.sum("n").alias("n"), F.count_if("falls").alias("n_falling"),
+            F.count_if((F.col("lo") < 0) | (F.col("hi") > 1) | F.col("lo").isNull()).alias("n_outside"))
+        flags = flags.select(F.lit(method).alias("method"), "*")
+        out = flags if out is None else out.union(flags)
+    return out
