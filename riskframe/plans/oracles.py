@@ -604,3 +604,5 @@ FROM (SELECT count(*) FROM documents)""")
 oracle("calibrated_rows", """
 SELECT unnest(['sigmoid', 'isotonic']) AS method, n, 0::BIGINT AS n_falling, 0::BIGINT AS n_outside
 FROM (SELECT count(*) AS n FROM documents)""")
+oracle("stream_registry", """
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'v1' ELSE 'v2' END AS model_version, doc_id % 2 AS batch_id FROM documents""")

@@ -20,6 +20,7 @@ from riskframe.operators.prep import FEATURES
 from riskframe.plans import package_job, profile_job
 from riskframe.session import scratch_path
 from riskframe.sources import tables, views
+from riskframe.streaming import registry
 from riskframe.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -990,3 +991,25 @@ def calibrated_rows(spark, d):
         flags = flags.select(F.lit(method).alias("method"), "*")
         out = flags if out is None else out.union(flags)
     return out
+
+
+@query
+def stream_registry(spark, d):
+    """Documents in two files: a version is registered between their micro-batches, and the second one runs twice."""
+    loaded, _ = _bundle(spark, d)
+    folder = scratch_path(spark, "followed")
+    artifacts = ArtifactConfig.below(f"{folder}/artifacts")
+    docs = _all_docs(spark, d)
+    schema = docs.schema
+    for version, rest, at in (("v1", 0, "2001"), ("v2", 1, "2002"), (None, None, None)):
+        if version:
+            record = {**loaded.metadata, "model_version": version, "packaged_at_utc": at}
+            bundle.save_bundle(spark, version, loaded.calibrated, loaded.raw, loaded.threshold_document, record, artifacts)
+            docs.where(F.col("doc_id") % 2 == rest).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        else:
+            # As after a failure between the write and the commit of the last batch.
+            commit = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/progress/commits/1")
+            commit.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commit, False)
+        files = stream.feature_stream(spark, f"{folder}/in", schema)
+        registry.follow_registry(files, artifacts, DOC_KEYS, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return plain(registry.read_results(spark, f"{folder}/out").select("doc_id", "model_version", "batch_id"))
