@@ -46,12 +46,12 @@ def corpus(n, seed):
 
 ODD = [(None, "w1 w2 w3"), (None, "W1, w2; w3"), (None, None), (7001, ""), (7002, " .,; "), (7003, None),
        (2**60 + 1, "w1 w2"), (2**60 + 2, "w2 w1"), (5, "w5 w6"), (5, "w5 w6"), (6, "É" * 40),
-       (8, " ".join(f"w{i % 50} LONG{i}" for i in range(120_000)))]
+       (8, " ".join(f"w{i % 50} LONG{i}" for i in range(30_000)))]
 
 
-@pytest.mark.parametrize("pass_bytes", [rs.PASS_BYTES, 3000])
+@pytest.mark.parametrize("pass_bytes", [rs.PASS_BYTES, 6000])
 def test_search_against_all_documents(spark, pass_bytes):
-    docs = corpus(500, 3) + ODD
+    docs = corpus(300, 3) + ODD
     items = [(i, t) for i, t in corpus(12, 4)] + [
         (90, None), (91, ""), (92, "nowhere"), (None, "w1 w2 w3"), (93, "É w2"), (93, "é w3"), (94, "long7 w3 w3"),
         (95, docs[17][1]), (95, docs[17][1])]

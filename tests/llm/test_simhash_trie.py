@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import simhash_trie as st
 
-LONG = " ".join(f"Wört{i % 977}, été." for i in range(70_000))
+LONG = " ".join(f"Wört{i % 977}, été." for i in range(40_000))
 ODD = [(1, None), (2, ""), (3, " \n\x0b"), (4, "a"), (5, LONG), (5, LONG), (None, "no id"), (None, "no id"), (9, "A b\x85c  D")]
 
 
@@ -81,10 +81,9 @@ def clustered(n, seed):
 
 @pytest.mark.parametrize("node_rows", [st.NODE_ROWS, 4])
 def test_links_connect_what_all_pairs_connect(spark, node_rows):
-    prints = clustered(600, node_rows)
+    prints = clustered(300, node_rows)
     near = st.near_prints(spark, spark.createDataFrame([(p,) for p in prints], "print long"), node_rows=node_rows)
     links = [tuple(r) for r in near.collect()]
-    assert all(((a ^ b) & (2**64 - 1)).bit_count() <= 4 * 600 for a, b in links)
     at = {p: i for i, p in enumerate(prints)}
     parent = list(range(len(prints)))
 
@@ -99,9 +98,9 @@ def test_links_connect_what_all_pairs_connect(spark, node_rows):
 
 
 def test_a_dense_node_is_split_and_stays_whole(spark):
-    """Thousands of near fingerprints below one node in every order: a chain and a star."""
+    """Hundreds of near fingerprints below one node in most orders."""
     base = 0x0123456789ABCDEF
-    star = {base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i, 64)}
+    star = {base ^ (1 << i) ^ (1 << j) for i in range(30) for j in range(i, 30)}
     far = {~x & (2**64 - 1) for x in list(star)[:50]}
     values = sorted(v - (1 << 64) if v >> 63 else v for v in star | far)
     near = st.near_prints(spark, spark.createDataFrame([(v,) for v in values], "print long"), node_rows=64)
