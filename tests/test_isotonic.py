@@ -9,11 +9,11 @@ from riskframe.operators import calibration
 from riskframe.operators.isotonic import boundary_pairs, pool, pooled_blocks
 
 
-def rows_of(kind, n=900):
+def rows_of(kind, n=400):
     rng = random.Random(kind)
     shapes = {
         "rising": lambda i: i / n, "falling": lambda i: -i / n, "noise": lambda i: rng.random(),
-        "late low": lambda i: i / n if i < n - 3 else -50.0, "saw": lambda i: (i % 90) / 90, "flat": lambda i: 0.5,
+        "late low": lambda i: i / n if i < n - 3 else -50.0, "saw": lambda i: (i % 40) / 40, "flat": lambda i: 0.5,
         "trend": lambda i: i / n + rng.gauss(0, 0.3),
     }
     return [(float(i), shapes[kind](i), float(rng.randint(1, 5))) for i in range(n)]
@@ -23,7 +23,7 @@ def rows_of(kind, n=900):
 def test_ranges_and_one_list_agree(spark, kind):
     rows = rows_of(kind)
     wanted = pool((x, x, y, w) for x, y, w in rows)
-    got = pooled_blocks(spark.createDataFrame(rows, "score double, y double, w double").repartition(6), parts=13)
+    got = pooled_blocks(spark.createDataFrame(rows, "score double, y double, w double").repartition(6), parts=7)
     found = sorted(tuple(r) for r in got.select("lo", "hi", "y", "w").collect())
     assert [r[:2] for r in found] == [tuple(b[:2]) for b in wanted]
     for a, b in zip(found, wanted, strict=True):
