@@ -236,9 +236,9 @@ numbered AS (
     count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY k) AS place
   FROM letters),
 placed AS (
-  SELECT n.conv_id, k, letter, place, role, text, initial,
-    max((place = 1 AND letter = 'K' AND initial = 's')::INTEGER) OVER (PARTITION BY n.conv_id) AS led
-  FROM numbered n LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.i AND letter <> 'I'),
+  SELECT n.conv_id, n.k, n.letter, n.place, f.role, f.text, f.initial,
+    max((n.place = 1 AND n.letter = 'K' AND f.initial = 's')::INTEGER) OVER (PARTITION BY n.conv_id) AS led
+  FROM numbered n LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.i AND n.letter <> 'I'),
 repaired AS (
   SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
     || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS whole
