@@ -20,9 +20,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     collected: minima are pre-aggregated, so a node may hold a third of all edges.
     Null ends and loops are ignored; no edges give no rows.
     """
-    edges = edges.select("a", "b").where(F.col("a") != F.col("b")).distinct()
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = settle(spark, both.distinct(), "edges")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.where(F.col("a") != F.col("b")).select(F.explode(ways).alias("way")).select("way.*").distinct()
+    both = settle(spark, both, "edges")
     labels = both.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     while not both.isEmpty():
         parents = both.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p"))

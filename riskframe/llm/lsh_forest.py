@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import free_name, mix, release, settle, shingle_hashes, with_row_keys, word_hashes
@@ -16,24 +16,28 @@ from riskframe.llm.components import components
 #: Values of a signature (2 bytes each), sorted orders (trees), and values of a sort key. Each order
 #: starts ``STEP`` values after the one before.
 VALUES, ORDERS, STEP, KEY_VALUES = 128, 24, 5, 12
-#: Values that two neighbours must share at least, and values that a crowded region shares.
-LEAST_DEPTH, CROWD_DEPTH = 3, 6
-#: Neighbours looked at on either side; regions with more members than that and one go on to their centres.
+#: Values that two neighbours must share at least, and values that a region shares. Regions are searched whole, and two
+#: sets of similarity 0.8 share none of the 24 regions three times in a million.
+LEAST_DEPTH, REGION_DEPTH = 3, 4
+#: Neighbours looked at on either side; regions with more members than that and one are searched again as a whole.
 REACH = 3
 #: Bits of the 128-bit sketches on which a candidate agrees; at similarity 0.8 fewer agree once in a million times.
 LEAST_AGREEING = 98
-#: Centres of a member of crowded regions in each round, sorted orders of the differences from a centre, rows of a block.
-CENTRES, DIFFERENCE_ORDERS, BLOCK_ROWS = 2, 8, 512
+#: Bits that tell how far two sets differ at least.
+PARITY_BITS = 1024
+#: Members of a region on either side of a comparison in one task, and partners that a member has confirmed in the
+#: first round; the rounds go on, each with ``MORE`` times as many, until no partner is left.
+BLOCK_ROWS, PARTNERS, MORE = 4096, 256, 64
 
 _SEEDS = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 _CHUNK = 4096
 
 
-def least_values(shingles: np.ndarray, count: int = VALUES) -> np.ndarray:
+def least_values(shingles: np.ndarray) -> np.ndarray:
     """For each of the hash functions the smallest value over the shingles."""
-    least = np.full(count, 0xFFFFFFFF, dtype=np.uint64)
+    least = np.full(VALUES, 0xFFFFFFFF, dtype=np.uint64)
     for i in range(0, len(shingles), _CHUNK):
-        part = (shingles[i:i + _CHUNK, None] * _SEEDS[None, :count]) >> np.uint64(32)
+        part = (shingles[i:i + _CHUNK, None] * _SEEDS[None, :]) >> np.uint64(32)
         least = np.minimum(least, part.min(axis=0))
     return least
 
@@ -44,6 +48,12 @@ def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
     return low.astype(">u2").tobytes(), np.packbits((low & np.uint64(1)).astype(bool)).tobytes()
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """For each bit whether an odd number of shingles falls on it: two sets differ in as many shingles as bits at least."""
+    counts = np.bincount((shingles % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(counts & 1 == 1).tobytes()
+
+
 def shingle_features(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """``doc_id, said, node, n, sig, sketch``: ``node`` names the shingle set, so equal sets share it; null without words.
 
@@ -74,42 +84,40 @@ def _orders(nodes: DataFrame) -> DataFrame:
     twice = F.concat("sig", "sig")
     keys = F.array(*[
         F.concat(F.lit(bytearray([i])), F.substring(twice, 2 * STEP * i + 1, 2 * KEY_VALUES)) for i in range(ORDERS)])
-    return nodes.select(F.explode(keys).alias("key"), "node", "n", "sketch", F.lit(None).cast("binary").alias("root"))
+    return nodes.select(F.explode(keys).alias("key"), "node", "n", "sketch")
 
 
-_SCAN = "a binary, b binary, key binary, node binary, n long, sketch binary, root binary, region binary"
+_SCAN = "a binary, b binary, key binary, node binary, n long, sketch binary, region binary"
 
 
 def _table(cells: pd.Series, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(cells.tolist()), dtype=np.uint8).reshape(-1, width)
 
 
-def _neighbours(percent: int, width: int, shared: int, crowd: int | None, edges: bool = True):
+def _neighbours(percent: int, width: int, shared: int, crowd: int, edges: bool = True):
     """Scans sorted rows: candidate pairs, members of crowded regions, and the rows at both ends of the partition.
 
     Keys have ``width`` bytes. Each row is compared with the ``REACH`` rows before it, those of the longest
     common prefixes: where rows lie dense these share many values, where they are sparse few, ``shared`` bytes at least.
-    Sizes and sketches tell which of them can be alike enough, and rows of one ``root`` are one component already.
-    Rows that share ``crowd`` bytes are one region; in a crowded one only the nearest row is compared here.
+    Sizes and sketches tell which of them can be alike enough. Rows that share ``crowd`` bytes are one region. One of
+    up to ``REACH + 1`` rows is compared whole here; of a larger, crowded one only the nearest rows are, and all its
+    members are given back for ``_rest_of_regions``.
     """
     def pairs_of(rows: pd.DataFrame, fresh: int) -> pd.DataFrame:
         node, n = rows["node"].to_numpy(object), rows["n"].to_numpy()
         key, sketch = _table(rows["key"], width), _table(rows["sketch"], VALUES // 8).view(np.uint64)
-        root = None if crowd else rows["root"].to_numpy(object)
         left, right = [], []
         for step in range(1, REACH + 1):
             later = np.arange(max(fresh, step), len(rows))
             earlier = later - step
             hit = (key[later, :shared] == key[earlier, :shared]).all(axis=1)
-            if crowd and step > 1:
+            if step > 1:
                 first = np.maximum(later - REACH - 1, 0)
                 hit &= (key[later, :crowd] != key[first, :crowd]).any(axis=1) | (later <= REACH)
             hit &= 100 * np.minimum(n[later], n[earlier]) >= percent * np.maximum(n[later], n[earlier])
             later, earlier = later[hit], earlier[hit]
             apart = np.bitwise_count(sketch[later] ^ sketch[earlier]).sum(axis=1, dtype=np.int64)
             near = apart <= VALUES - LEAST_AGREEING
-            if root is not None:
-                near &= root[earlier] != root[later]
             left.append(node[earlier[near]])
             right.append(node[later[near]])
         x, y = np.concatenate(left), np.concatenate(right)
@@ -129,7 +137,7 @@ def _neighbours(percent: int, width: int, shared: int, crowd: int | None, edges:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def padded(frame: pd.DataFrame) -> pd.DataFrame:
-            return frame.reindex(columns=["a", "b", "key", "node", "n", "sketch", "root", "region"])
+            return frame.reindex(columns=["a", "b", "key", "node", "n", "sketch", "region"])
 
         held, head = None, 0
         for batch in batches:
@@ -141,7 +149,7 @@ def _neighbours(percent: int, width: int, shared: int, crowd: int | None, edges:
                 yield padded(first)
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
             yield padded(pairs_of(rows, len(rows) - len(batch)))
-            if crowd and edges:
+            if edges:
                 yield padded(members_of(batch))
             held = rows.tail(REACH + 1)
         if held is not None and edges:
@@ -151,9 +159,9 @@ def _neighbours(percent: int, width: int, shared: int, crowd: int | None, edges:
 
 
 def _scanned(spark: SparkSession, rows: DataFrame, *options) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs and region members of rows (``key, node, n, sketch, root``) sorted by key over all partitions."""
+    """Candidate pairs and region members of rows (``key, node, n, sketch``) sorted by key over all partitions."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = ["key", "node", "n", "sketch", "root"]
+    columns = ["key", "node", "n", "sketch"]
     rows = rows.select(columns).repartitionByRange(parts, "key").sortWithinPartitions("key")
     scan = settle(spark, rows.mapInPandas(_neighbours(*options), _SCAN), "neighbours")
     # At most 2 * REACH rows a partition, scanned over the partitions' ends.
@@ -169,10 +177,6 @@ def _scanned(spark: SparkSession, rows: DataFrame, *options) -> tuple[DataFrame,
 # ---- full sets ---------------------------------------------------------------------------------
 
 
-def _overlap(p: np.ndarray, q: np.ndarray) -> int:
-    return len(np.intersect1d(p, q, assume_unique=True))
-
-
 def _confirmed(percent: int):
     """Keeps the pairs whose full sets are alike enough."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +184,7 @@ def _confirmed(percent: int):
             keep = []
             for x, y in zip(batch["set_a"].tolist(), batch["set_b"].tolist(), strict=True):
                 p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common = _overlap(p, q)
+                common = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * common >= percent * (len(p) + len(q) - common))
             yield batch.loc[keep, ["a", "b"]]
 
@@ -194,111 +198,134 @@ def _links(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int)
 
 
 def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
-    """``node, set`` for the nodes of ``wanted`` (node, doc_id, said): computed again from one text each."""
-    @F.pandas_udf("binary")
-    def shingle_set(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_hashes(word_hashes(text), words).tobytes() for text in texts.tolist()], dtype=object)
-
-    source = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text_col).alias("__said"),
-                         F.col(text_col).alias("text"))
-    found = source.join(wanted, (F.col("__said") == F.col("said")) & F.col("__id").eqNullSafe(F.col("doc_id")))
+    """``node, set, parity`` for the nodes of ``wanted`` (node, doc_id, said): computed again from one text each."""
+    @F.pandas_udf("set binary, parity binary")
+    def shingle_set(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_hashes(word_hashes(text), words) for text in texts.tolist()]
+        return pd.DataFrame({"set": [s.tobytes() for s in sets], "parity": [parity(s) for s in sets]}, dtype=object)
+
+    def keys(table: DataFrame, key: str, said: Column, *more: str) -> DataFrame:
+        key = F.col(key).cast("long")
+        return table.select(said.alias("said"), key.isNull().alias("unnamed"), F.coalesce(key, F.lit(0)).alias("key"), *more)
+
+    source = keys(docs.withColumn("__text", F.col(text_col)), id_col, F.xxhash64(text_col), "__text")
+    names = ["said", "unnamed", "key"]
+    found = source.join(keys(wanted, "doc_id", F.col("said"), "node"), names)
     # Rows that repeat an id and text give the same set, one of them is enough.
-    found = found.groupBy("node").agg(F.first("text").alias("text"))
-    return found.select("node", shingle_set("text").alias("set"))
+    found = found.groupBy(*names, "node").agg(F.first("__text").alias("text"))
+    return found.select("node", shingle_set("text").alias("s")).select("node", "s.*")
 
 
 # ---- crowded regions -----------------------------------------------------------------------------
 
 
-def _against_centre(percent: int):
-    """Compares members with their centre: links, and keys of what sets each member apart from it.
+def _partners(percent: int, limit: int):
+    """Compares the probes of each region with its residents, row by row: the ``limit`` nearest partners of each probe.
 
-    Rows come sorted, a centre before its members; only its set is held.
+    Partners have another root, and sizes, sketches and parities that allow a link. ``more`` marks probes with more of them.
     """
+    names = ["region", "probes", "residents"]
+
+    def partners(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        probe = rows["probe"].to_numpy(bool)
+        p_rows, r_rows = np.flatnonzero(probe), np.flatnonzero(~probe)
+        node, n = rows["node"].to_numpy(object), rows["n"].to_numpy()
+        root = pd.factorize(rows["root"])[0]
+        sketch, odd = (_table(rows[c], w // 8).view(np.uint64) for c, w in (("sketch", VALUES), ("parity", PARITY_BITS)))
+        for start in range(0, len(p_rows), 128):
+            p = p_rows[start:start + 128]
+            apart = np.bitwise_count(sketch[p][:, None] ^ sketch[r_rows][None]).sum(axis=2, dtype=np.int64)
+            near = (apart <= VALUES - LEAST_AGREEING) & (root[p][:, None] != root[r_rows][None])
+            small, large = np.minimum(n[p][:, None], n[r_rows]), np.maximum(n[p][:, None], n[r_rows])
+            at, to = np.nonzero(near & (100 * small >= percent * large))
+            x, y = p[at], r_rows[to]
+            differ = np.concatenate([np.zeros(0, dtype=np.int64)] + [
+                np.bitwise_count(odd[x[i:i + _CHUNK]] ^ odd[y[i:i + _CHUNK]]).sum(axis=1, dtype=np.int64)
+                for i in range(0, len(x), _CHUNK)])
+            can = 100 * (n[x] + n[y] - differ) >= percent * (n[x] + n[y] + differ)
+            x, y, differ = x[can], y[can], differ[can]
+            order = np.lexsort((differ, x))
+            x, y = x[order], y[order]
+            rank = np.arange(len(x)) - np.searchsorted(x, x)
+            total = np.searchsorted(x, x, "right") - np.searchsorted(x, x)
+            keep = rank < limit
+            pairs = [(min(a, b), max(a, b)) for a, b in zip(node[x[keep]], node[y[keep]], strict=True)]
+            yield pd.DataFrame(pairs, columns=["a", "b"]).assign(more=total[keep] > limit)
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centre, own, own_root = None, None, None
+        held = None
         for batch in batches:
-            links, keys = [], []
-            for name, lead, node, n, sketch, root, data in zip(
-                    *[batch[c].tolist() for c in ("centre", "lead", "node", "n", "sketch", "root", "set")], strict=True):
-                values = np.frombuffer(data, dtype=np.uint64)
-                if lead:
-                    centre, own, own_root = name, values, root
-                    continue
-                assert name == centre
-                common = 0 if root == own_root else _overlap(values, own)
-                if root != own_root and 100 * common >= percent * (len(values) + len(own) - common):
-                    links.append((min(node, name), max(node, name)))
-                apart = least_values(np.setxor1d(values, own, assume_unique=True), 2 * DIFFERENCE_ORDERS)
-                apart = apart.astype(">u4").reshape(2, DIFFERENCE_ORDERS)
-                keys += [(name + bytes([i]) + apart[0, i].tobytes() + apart[1, i].tobytes(), node, n, sketch, root)
-                         for i in range(DIFFERENCE_ORDERS)]
-            for rows, columns in ((links, ["a", "b"]), (keys, ["key", "node", "n", "sketch", "root"])):
-                yield pd.DataFrame(rows, columns=columns).reindex(columns=["a", "b", "key", "node", "n", "sketch", "root"])
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(rows):
+                continue
+            group = rows.groupby(names, sort=False).ngroup().to_numpy()
+            stops = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1
+            starts = np.r_[0, stops[:-1]]
+            for start, stop in zip(starts[:-1].tolist(), stops[:-1].tolist(), strict=True):
+                yield from partners(rows.iloc[start:stop])
+            held = rows.iloc[starts[-1]:]
+        if held is not None:
+            yield from partners(held)
 
     return work
 
 
-def _crowded_links(
-    spark: SparkSession, members: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, percent: int,
-) -> DataFrame | None:
-    """Links ``a, b, root_a, root_b`` that join components inside crowded regions; None if no region has several.
-
-    Each such region offers its best linked member as a centre. A member takes the ``CENTRES`` best linked ones that its
-    regions offer and is compared with them. What links to none of them may link to a member that departs from a centre in the
-    same way, so members are sorted by minima over their differences from it, in several orders, and neighbours
-    compared. Work is linear in the members.
+def _open_regions(spark: SparkSession, members: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of regions with several roots: their root, that of most members, and the blocks of both sides."""
+    roots = labels.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+    rows = members.select("region", "node", "n", "sketch").join(sets.select("node", "parity"), "node")
+    rows = rows.join(roots, F.col("node") == F.col("__node"), "left").select(
+        "region", "node", "n", "sketch", "parity", F.coalesce("__root", "node").alias("root")).repartition("region")
+    region = Window.partitionBy("region")
+    rows = rows.withColumn("most", F.struct(F.count(F.lit(1)).over(Window.partitionBy("region", "root")), "root"))
+    rows = rows.withColumn("main", F.max("most").over(region)["root"])
+    rows = rows.withColumn("others", F.count(F.when(F.col("root") != F.col("main"), 1)).over(region))
+    rows = rows.withColumn("all", F.count(F.lit(1)).over(region)).where("others > 0")
+    blocks = [F.ceil(F.col(c) / BLOCK_ROWS).cast("int").alias(name) for c, name in (("others", "p"), ("all", "r"))]
+    return settle(spark, rows.select("region", "node", "n", "sketch", "parity", "root", "main", *blocks), "open")
+
+
+def _rest_of_regions(
+    spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int, limit: int,
+) -> tuple[DataFrame, bool]:
+    """Links between components inside open regions, and whether that is all of them.
+
+    A link inside a component changes nothing, so members of a region's most frequent root are only compared with the
+    others, and these with all members. Both sides are dealt in blocks, each pair of blocks to one task.
     """
-    names = labels.select(F.col("node").alias("__node"), "root")
-    rows = members.join(names, F.col("node") == F.col("__node"), "left").select(
-        "region", "node", "n", "sketch", F.coalesce("root", "node").alias("root"))
-    rows = labelled = settle(spark, rows, "labelled")
-    open_ = rows.groupBy("region").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("region")
-    degree = links.select(F.col("a").alias("__node")).union(links.select("b")).groupBy("__node").agg(
-        F.count(F.lit(1)).alias("degree"))
-    rows = settle(spark, rows.join(open_, "region").join(degree, F.col("node") == F.col("__node"), "left").select(
-        "region", "node", "n", "sketch", "root", F.coalesce("degree", F.lit(0)).alias("degree")), "open")
-    if rows.isEmpty():
-        release(spark, labelled, rows)
-        return None
-    best = rows.groupBy("region").agg(F.max(F.struct("degree", "node", "root")).alias("best")).select(
-        F.col("region").alias("__region"), F.col("best.node").alias("centre"), F.col("best.degree").alias("links"),
-        F.col("best.root").alias("centre_root"))
-    offered = rows.join(best, F.col("region") == F.col("__region")).where("node <> centre").select(
-        "centre", "centre_root", "links", "node", "n", "sketch", "root").distinct()
-    taken = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("links"), "centre"))
-    pairs = settle(spark, offered.withColumn("taken", taken).where(F.col("taken") <= CENTRES).drop("taken", "links"), "centred")
-    release(spark, labelled, rows)
-
-    blocks = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"),
-                                         F.first("centre_root").alias("root"))
-    blocks = settle(spark, blocks, "blocks")
-    heads = blocks.select(F.col("centre").alias("node"), "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    heads = heads.join(sets, "node").select(
-        F.col("node").alias("centre"), "block", F.lit(True).alias("lead"), "node", F.lit(0).cast("long").alias("n"),
-        F.lit(None).cast("binary").alias("sketch"), "root", "set")
-    tails = pairs.join(blocks.drop("root"), "centre").join(sets, "node").select(
-        "centre", F.pmod(F.hash("node"), F.col("blocks")).alias("block"), F.lit(False).alias("lead"), "node", "n", "sketch",
-        "root", "set")
-    stream = heads.union(tails).repartition("centre", "block").sortWithinPartitions("centre", "block", F.desc("lead"))
-    found = stream.select("centre", "lead", "node", "n", "sketch", "root", "set").mapInPandas(
-        _against_centre(percent), "a binary, b binary, key binary, node binary, n long, sketch binary, root binary")
-    found = settle(spark, found, "differences")
-    release(spark, pairs, blocks)
-    near, none = _scanned(spark, found.where("key is not null"), percent, 16 + 1 + 8, 16 + 1 + 4, None)
-    linked = _links(spark, near, sets, percent)
-    more = settle(spark, _between(found.where("a is not null").select("a", "b").union(linked).distinct(), labels), "more-links")
-    release(spark, found, near, none, linked)
-    return more
-
-
-def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``a, b, root_a, root_b`` of the pairs that lie in two components."""
+    def dealt(side: DataFrame, probe: bool) -> DataFrame:
+        own, other = ("p", "r") if probe else ("r", "p")
+        own = F.pmod(F.hash("node"), F.col(own))
+        other = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return side.select("region", (own if probe else other).alias("probes"), (other if probe else own).alias("residents"),
+                           F.lit(probe).alias("probe"), "node", "n", "root", "sketch", "parity")
+
+    keys = ["region", "probes", "residents"]
+    stream = dealt(rows.where("root <> main"), True).union(dealt(rows, False))
+    stream = stream.repartition(*keys).sortWithinPartitions(*keys)
+    found = stream.mapInPandas(_partners(percent, limit), "a binary, b binary, more boolean")
+    found = settle(spark, found.groupBy("a", "b").agg(F.max("more").alias("more")), "partners")
+    linked = _links(spark, found.select("a", "b"), sets, percent)
+    whole = found.where("more").isEmpty()
+    release(spark, found)
+    return linked, whole
+
+
+def _joined(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, root) after ``links`` between their components; nodes without a label are their own root."""
+    ends = links
     for end in ("a", "b"):
         names = labels.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
-        pairs = pairs.join(names, F.col(end) == F.col("__node"), "left").withColumn(
+        ends = ends.join(names, F.col(end) == F.col("__node"), "left").withColumn(
             f"root_{end}", F.coalesce("__root", end)).drop("__node", "__root")
-    return pairs.where(F.col("root_a") != F.col("root_b"))
+    ends = settle(spark, ends, "ends")
+    again = components(spark, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    names = again.select(F.col("node").alias("__r"), F.col("root").alias("__root"))
+    known = labels.union(ends.select("a", "root_a")).union(ends.select("b", "root_b")).distinct()
+    out = settle(spark, known.join(names, F.col("root") == F.col("__r"), "left").select(
+        "node", F.coalesce("__root", "root").alias("root")), "labels")
+    release(spark, labels, ends, again)
+    return out
 
 
 def near_duplicates(
@@ -311,9 +338,10 @@ def near_duplicates(
     their signatures in several orders. Sorted neighbours, the nodes of the longest common prefixes, are
     candidates, so depth follows the density of each region by itself: it is long where nodes lie
     dense and falls to ``LEAST_DEPTH`` values where they are sparse. Candidates are links when
-    ``100 * |intersection| >= percent * |union|`` of their full sets. A region with more members than neighbours are
-    looked at, as large groups of near copies make, is searched further: see ``_crowded_links``, in rounds as long
-    as one joins components. Nothing is compared pair by pair within a group.
+    ``100 * |intersection| >= percent * |union|`` of their full sets. Nodes that share ``REGION_DEPTH`` values are
+    a region. If it has more members than neighbours are looked at and the links leave it in several components, all
+    its pairs between these are compared: see ``_rest_of_regions``. Rounds go on until no such pair is left
+    unconfirmed, so no number of members, partners or rounds is a limit.
     ``component_id`` is the smallest id reachable over links, ``kept`` marks its row.
 
     Null, empty and blank texts have no shingles, are linked with nothing and kept.
@@ -328,9 +356,9 @@ def near_duplicates(
     nodes = settle(spark, nodes.select("node", "first.doc_id", "first.said", "n", "sig", "sketch"), "nodes")
 
     pairs, members = _scanned(spark, _orders(nodes), percent, 1 + 2 * KEY_VALUES, 1 + 2 * LEAST_DEPTH,
-                              1 + 2 * CROWD_DEPTH)
-    large = members.groupBy("region").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > REACH + 1)
-    crowd = settle(spark, members.join(large.select("region"), "region"), "crowd")
+                              1 + 2 * REGION_DEPTH)
+    crowd = members.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("region")))
+    crowd = settle(spark, crowd.where(F.col("members") > REACH + 1).drop("members"), "crowd")
     release(spark, members)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     texts = nodes.select("node", "doc_id", "said").join(wanted, "node")
@@ -338,18 +366,25 @@ def near_duplicates(
 
     links = _links(spark, pairs, sets, percent)
     labels = components(spark, links)
-    while (more := _crowded_links(spark, crowd, sets, links, labels, percent)) is not None and not more.isEmpty():
-        again = components(spark, more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        again = again.select(F.col("node").alias("__r"), F.col("root").alias("__root"))
-        known = labels.union(more.select("a", "root_a")).union(more.select("b", "root_b")).distinct()
-        labels = settle(spark, known.join(again, F.col("root") == F.col("__r"), "left").select(
-            "node", F.coalesce("__root", "root").alias("root")), "labels")
-        links = settle(spark, links.union(more.select("a", "b")), "links")
+    release(spark, pairs, links)
+    crowd, closed = _open_regions(spark, crowd, sets, labels), crowd
+    release(spark, closed)
+    limit, whole = PARTNERS, crowd.isEmpty()
+    while not whole:
+        links, whole = _rest_of_regions(spark, crowd, sets, percent, limit)
+        if not links.isEmpty():
+            labels = _joined(spark, labels, links)
+            if not whole:
+                crowd, closed = _open_regions(spark, crowd, sets, labels), crowd
+                release(spark, closed)
+                whole = crowd.isEmpty()
+        release(spark, links)
+        limit *= MORE
 
     named = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = settle(spark, named.join(least, "root").select(F.col("node").alias("__node"), "component_id"), "named")
-    release(spark, sets, pairs, crowd, links)
+    release(spark, sets, crowd, labels)
     out = feats.select("doc_id", "node", "n").join(named, F.col("node") == F.col("__node"), "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

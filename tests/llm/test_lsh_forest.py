@@ -148,3 +148,25 @@ def test_star_chain_and_null_ids_of_a_thousand_copies(spark):
     left = drop_near_duplicates(spark, docs.withColumn("__row", F.lit("mine")), words=2)
     assert left.columns == ["doc_id", "text", "__row"]
     assert left.where("doc_id is null").count() == 501 and left.where("__row = 'mine'").count() == left.count()
+
+
+def test_a_crowd_loses_no_link(spark):
+    """Many texts alike, few of them enough: what links to one text only is found among all of its region."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for i in range(110):
+        both = list(base)
+        for at in rng.sample(range(0, 240, 2), 3):
+            both[at] = f"x{i}_{at}"
+        for twin in "yz":
+            text = list(both)
+            for at in rng.sample(range(1, 240, 2), 6):
+                text[at] = f"{twin}{i}_{at}"
+            rows.append(text)
+    rng.shuffle(rows)
+    rows = [(i, " ".join(text)) for i, text in enumerate(rows)]
+    expected = brute_force(rows, 2, 80)
+    assert 20 < len({c for _, _, c in expected}) < 220
+    got = near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), words=2)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == expected
