@@ -10,7 +10,7 @@ import pytest
 
 from riskframe.llm import (
     chat_tree, decontaminate, host_reputation, language_mixture, order_minhash, packing, quality_votes,
-    secret_lexing, toxicity,
+    secret_lexing, tokens, toxicity,
 )
 
 P = pytest.importorskip("public_tokenizers")
@@ -236,3 +236,25 @@ def test_packing_is_exact_and_full(spark):
         lengths = sequence["length"].to_numpy()
         assert (sequence["offset"].to_numpy() == np.r_[0, lengths.cumsum()[:-1]]).all()
         assert lengths.sum() <= 2048 and int(lengths.sum()).bit_count() == 1
+
+
+def test_words_are_learned_once_and_without_offsets(monkeypatch):
+    """Fresh words go to the form of the tokenizer that keeps no offsets; ids stay the tokenizer's, also as the cache starts anew."""
+    class Fast:
+        def __init__(self, words):
+            self.words, self.calls = words, 0
+
+        def encode_batch_fast(self, *args, **kwargs):
+            self.calls += 1
+            return self.words.encode_batch_fast(*args, **kwargs)
+
+    path = P.path("word_bpe_49k.json")
+    texts = ["It's ONE, two; three-4 é\n\tend.", None, "", "key=AKIA99 'll", "日本 mixed", "one two three", "Zwölf ÀÉ 12 300!?"]
+    encoder = tokens.WordIds(path)
+    encoder.words = fast = Fast(encoder.words)
+    whole = [np.array(tokens.load(path).encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == whole and fast.calls == 1
+    assert encoder.encode(texts) == whole and fast.calls == 1
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 6)
+    monkeypatch.setattr(tokens, "GROUP", 2)
+    assert tokens.WordIds(path).encode(texts * 2) == whole * 2
