@@ -5,6 +5,7 @@ from __future__ import annotations
 import weakref
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,11 @@ def release(spark: SparkSession, *settled: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Returns what Arrow keeps of finished batches: a worker lives on after its task and would hold it in other stages."""
+    pa.default_memory_pool().release_unused()
+
+
 #: A key of every row, whatever its id.
 ROW = "__row"
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import bisect
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import give_back
 from riskframe.llm.tokens import word_ids
 
 #: Context sizes, powers of two; the last is the longest sequence.
@@ -21,6 +22,10 @@ STEP_TOKENS = 16 * 2048
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
           "tier int, step_group long")
+# Pieces as they leave a task.
+_PACKED = PIECES.replace("doc_id long", "doc_id string")
+_TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+_SCHEMA = pa.schema([(name, _TYPES[kind]) for name, kind in map(str.split, _PACKED.split(", "))])
 
 
 class _Packer:
@@ -132,28 +137,34 @@ def pack_documents(
     end = int(end_id).to_bytes(4, "little")
     sizes = list(tiers)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, encoder = _Packer(sizes, TaskContext.get().partitionId()), word_ids(tokenizer_path)
-        names = [field.split()[0] for field in PIECES.split(", ")]
 
-        def packed() -> pd.DataFrame:
+        def packed() -> pa.RecordBatch:
             rows, packer.rows = packer.rows, []
-            return pd.DataFrame(rows, columns=names)
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(cells, kind) for cells, kind in zip(columns, _SCHEMA.types, strict=True)], schema=_SCHEMA)
 
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                part = batch.iloc[i:i + 256]
-                for key, ids in zip(part["doc_id"].tolist(), encoder.encode(part["text"].tolist()), strict=True):
+            # Texts become Python objects a part at a time, since a batch of long ones is large.
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                texts = encoder.encode(part.column("text").to_pylist())
+                for key, ids in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                     packer.add(key, ids + end)
                     if packer.waiting > POOL_TOKENS:
                         packer.pack(REST_TOKENS)
                 if len(packer.rows) > 2000:
                     yield packed()
+            batch = part = None
+            give_back()
         packer.pack(0)
         if packer.rows:
             yield packed()
+        give_back()
 
-    # Ids pass through Python as text: a number beside a null would become a double there.
+    # Ids pass through Python as text, whatever their type.
     source = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = source.mapInPandas(work, PIECES.replace("doc_id long", "doc_id string"))
+    pieces = source.mapInArrow(work, _PACKED)
     return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
