@@ -11,6 +11,7 @@ from tools.check_oracles import compare
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 N, EMPTY = 120, {7, 8, 118, 119}  # 7 and 8 are labelled
+SORTED_JOIN = ["model_registry", "search_recounted"]
 WITH_SQL = ["high_missing", "quality_report", "profile_workflow", "shap_additivity", "stream_parity", "reload_parity",
             "score_batch_rows", "score_stream_rows", "explained_rows", "explained_stream_rows", "importance_recounted",
             "calibrated_rows", "stream_registry"]
@@ -70,3 +71,19 @@ def test_attributions_of_every_document(spark, folder, name):
         assert len(rows) == 5 and all(r["mean_abs_shap"] is not None for r in rows)
     else:
         assert {r["doc_id"] for r in rows} == set(range(N))
+
+
+@pytest.mark.parametrize("name", SORTED_JOIN)
+def test_labels_too_many_for_a_broadcast(spark, tmp_path, name):
+    """The features are then made of all documents, not only of labelled ones."""
+    folder = write_tables(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = entry_points.queries()[name](spark, folder)
+        if name in entry_points.oracle_sql():
+            problem = compare(found, sql_result(folder, name))
+            assert problem is None, problem
+        else:
+            assert found.count() == 1 and found.first()["n_documents"] == N
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
